@@ -92,6 +92,7 @@ class Words:
         edge = np.flatnonzero(np.diff(is_word.astype(np.int8), prepend=0))
         self.start, self.end = edge[0::2], edge[1::2]
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in low), dtype=np.int64, count=len(low)))
+        self.ends = ends
         self.doc = np.searchsorted(ends, self.start, side="right")
         self.first = np.searchsorted(self.doc, np.arange(self.n_docs + 1))
         self.hash = mix(Rolling(mix(self.code, 1)).of(self.start, self.end), 2)
