@@ -8,7 +8,7 @@ for the SQL that checks results.
 from __future__ import annotations
 
 #: White space, spelled out (what ``str.isspace`` accepts, as far as text holds it).
-SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD = r"\p{L}\p{N}_"
 _CLASSES = {"s": SPACE, "w": WORD, "d": r"\p{Nd}"}
 
@@ -50,11 +50,12 @@ def java(pattern: str, flags: str = "") -> str:
 
 
 def re2(pattern: str, flags: str = "") -> str:
+    """The same pattern for RE2, which has no lookaround."""
     import re
 
-    p = re.sub(r"\\U0*([0-9A-Fa-f]+)", r"\\x{\1}", pattern)
-    p = re.sub(r"\\u([0-9A-Fa-f]{4})", r"\\x{\1}", p).replace(r"\Z", r"\z")
-    return (f"(?{flags})" if flags else "") + p
+    body = re.sub(r"^\(\?[a-z]+\)", "", java(pattern, flags))
+    body = re.sub(r"\\u([0-9A-Fa-f]{4})", r"\\x{\1}", body)
+    return (f"(?{flags})" if flags else "") + body
 
 
 def sql(pattern: str, flags: str = "") -> str:
