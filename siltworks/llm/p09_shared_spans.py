@@ -140,12 +140,18 @@ def tree_cliques(members: list[tuple[int, int, str, str]], length: int) -> list[
         if depth < k:
             continue
         need = max(0, length - depth)
-        by: dict[str, list[tuple[int, int, int]]] = {}
+        by: dict[str, list[tuple[str, int, int]]] = {}
         for doc, pos, left, _ in members[a : b + 1]:
             if len(left) >= need:
-                by.setdefault(left[len(left) - need :], []).append((doc, pos - need, pos + min(depth, length)))
-        for clique in by.values():
-            if len({d for d, _, _ in clique}) > 1 and (tag := tuple(sorted(clique))) not in seen:
+                by.setdefault(left[len(left) - need :], []).append((left[::-1], doc, pos))
+        for same in by.values():
+            if len({d for _, d, _ in same}) < 2:
+                continue
+            # sorted by what stands before, read backwards, the longest common stretch is with a neighbour
+            same.sort()
+            more = [0, *(_common(x[0], y[0]) for x, y in zip(same, same[1:], strict=False)), 0]
+            clique = [(d, p - max(more[i], more[i + 1]), p + depth) for i, (_, d, p) in enumerate(same)]
+            if (tag := tuple(sorted(clique))) not in seen:
                 seen.add(tag)
                 out.append(list(tag))
     return out
