@@ -182,4 +182,14 @@ QUERIES = {
     "p2_found": lambda spark, d: found(runtime.table(spark, d, "canonical_records")),
     "p2_fertility": lambda spark, d: measured(runtime.table(spark, d, "canonical_records")),
 }
-ORACLES: dict[str, str] = {}
+_SQL = """WITH v AS (SELECT DISTINCT record_id, verification AS j FROM canonical_records WHERE record_id IS NOT NULL AND verification IS NOT NULL AND json_valid(verification)),
+d AS (SELECT DISTINCT record_id, distillation AS j FROM canonical_records WHERE record_id IS NOT NULL AND distillation IS NOT NULL AND json_valid(distillation)),
+s AS (SELECT record_id, unnest(json_extract(j, '$.samples[*]')) AS e FROM v WHERE json_type(j) = 'OBJECT' AND json_type(j, '$.samples') = 'ARRAY'),
+m AS (SELECT record_id, unnest(json_keys(j)) AS k, j FROM d WHERE json_type(j) = 'OBJECT'),
+t AS (SELECT record_id, 'verification' AS field, json_extract_string(e, '$.index') AS slot, n AS text_name, json_extract_string(e, '$.' || n) AS x FROM s, (VALUES ('reasoning'), ('solution')) q(n)
+UNION ALL SELECT record_id, 'distillation', k, n, json_extract_string(j, '$."' || k || '".' || n) FROM m, (VALUES ('reasoning'), ('solution')) q(n)),
+w AS (SELECT *, regexp_extract_all(lower(x), '[\\p{L}\\p{N}]+') AS w FROM t WHERE x IS NOT NULL),
+g AS (SELECT * EXCLUDE (x), list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i + 5], ' ')) AS g FROM w WHERE len(w) >= 12),
+r AS (SELECT *, list_filter(range(1, len(w) - 4), lambda i: list_position(g, g[i]) < i) AS again FROM g)
+SELECT DISTINCT record_id, field, slot, text_name FROM r WHERE len(list_distinct(flatten(list_transform(again, lambda i: range(i, i + 6))))) >= 0.3 * len(w)"""
+ORACLES = {"p2_found": _SQL}

@@ -150,4 +150,12 @@ QUERIES = {
     "p3_fields": _of(fields, "dedup_pairs", "canonical_records"),
     "p3_sources": _of(sources, "dedup_pairs", "canonical_records"),
 }
-ORACLES: dict[str, str] = {}
+_SQUEEZED = "lower(array_to_string(regexp_extract_all(regexp_replace(raw_dataset_answer, '\\\\(?:boxed|text)', '', 'g'), '[\\p{L}\\p{N}]+'), ''))"
+_SQL = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT DISTINCT left_id AS a, right_id AS b FROM dedup_pairs WHERE left_id <> right_id AND similarity >= 0.8 AND NOT isnan(similarity)),
+s AS MATERIALIZED (SELECT a x, b y FROM e UNION SELECT b, a FROM e UNION SELECT a, a FROM e UNION SELECT b, b FROM e), r AS (SELECT x, y FROM s UNION SELECT r.x, s.y FROM r JOIN s ON r.y = s.x), g AS (SELECT min(y) AS group_id, x AS record_id FROM r GROUP BY x),
+c AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY ingested_at DESC) AS k FROM canonical_records),
+m AS (SELECT g.group_id, g.record_id, coalesce(t.tier, 2147483647) AS tier, c.ingested_at, NOT (raw_dataset_answer IS NULL OR {_SQUEEZED} IN ('', {", ".join(f"'{x}'" for x in ("answer", "na", "none", "null", "nan", "tbd", "unknown", "notavailable", "noanswer"))})) AS answered
+FROM g LEFT JOIN c ON c.record_id = g.record_id AND c.k = 1 LEFT JOIN dataset_tiers t USING (dataset_name)),
+o AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY tier, ingested_at DESC NULLS LAST, record_id) AS n FROM m)
+SELECT group_id, arg_min(record_id, n) AS record_id, coalesce(arg_min(record_id, n) FILTER (WHERE answered), '') AS answer_record_id FROM o GROUP BY 1"""
+ORACLES = {"p3_found": _SQL}

@@ -137,4 +137,10 @@ QUERIES = {
     "p7_found": lambda spark, d: found(runtime.table(spark, d, "documents"), runtime.table(spark, d, "benchmark_questions")),
     "p7_leaks": lambda spark, d: leaks(runtime.table(spark, d, "documents"), runtime.table(spark, d, "benchmark_questions")),
 }
-ORACLES: dict[str, str] = {}
+_SQL = """WITH i AS (SELECT uid, w, ((len(w) + 1) // 2)::BIGINT AS need FROM (SELECT uid, regexp_extract_all(lower(question), '[\\p{L}\\p{N}]+') AS w FROM benchmark_questions WHERE uid IS NOT NULL AND question IS NOT NULL) WHERE len(w) > 0),
+g AS MATERIALIZED (SELECT DISTINCT uid, need, unnest(list_transform(range(1, len(w) - need + 2), lambda k: array_to_string(w[k:k + need - 1], ' '))) AS run FROM i),
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+n AS (SELECT DISTINCT need FROM i),
+r AS (SELECT doc_id, need, unnest(list_transform(range(1, len(w) - need + 2), lambda k: array_to_string(w[k:k + need - 1], ' '))) AS run FROM d, n WHERE len(w) >= need)
+SELECT DISTINCT doc_id, uid FROM r JOIN g USING (need, run)"""
+ORACLES = {"p7_found": _SQL}

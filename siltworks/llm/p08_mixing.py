@@ -164,4 +164,8 @@ def _of(f):
 
 
 QUERIES = {"p8_found": _of(found), "p8_mix": _of(report), "p8_plan": _of(plan)}
-ORACLES: dict[str, str] = {}
+#: Sizes in characters: any usual tokenizer gives the same sources.
+_SQL = """WITH t AS (SELECT source, max(target_share) AS s, max(coalesce(max_repeats, 1)) AS r FROM mix_targets WHERE source IS NOT NULL AND target_share IS NOT NULL GROUP BY 1),
+d AS (SELECT t.source, coalesce(sum(length(x.text)), 0) AS n FROM t LEFT JOIN (SELECT DISTINCT doc_id, source, text FROM documents WHERE doc_id IS NOT NULL) x ON x.source = t.source GROUP BY 1)
+SELECT source FROM d JOIN t USING (source) WHERE n * r < s * (SELECT sum(n) FROM d)"""
+ORACLES = {"p8_found": _SQL}

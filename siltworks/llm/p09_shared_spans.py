@@ -272,4 +272,10 @@ QUERIES = {
     "p9_found": lambda spark, d: found(runtime.table(spark, d, "documents")),
     "p9_shared": lambda spark, d: shared(runtime.table(spark, d, "documents")),
 }
-ORACLES: dict[str, str] = {}
+_SQL = """WITH d AS MATERIALIZED (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 300),
+c AS (SELECT text, min(doc_id) AS rep FROM d GROUP BY 1),
+g AS MATERIALIZED (SELECT DISTINCT rep, md5(substring(text, k, 300)) AS h FROM c, unnest(range(1, length(text) - 298)) u(k)),
+p AS (SELECT DISTINCT a.rep AS l, b.rep AS r FROM g a JOIN g b ON a.h = b.h AND a.rep < b.rep),
+m AS (SELECT d.doc_id, c.rep FROM d JOIN c ON d.text = c.text)
+SELECT DISTINCT least(x.doc_id, y.doc_id) AS doc_id_a, greatest(x.doc_id, y.doc_id) AS doc_id_b FROM (SELECT l, r FROM p UNION ALL SELECT rep, rep FROM c) q JOIN m x ON x.rep = q.l JOIN m y ON y.rep = q.r WHERE x.doc_id <> y.doc_id"""
+ORACLES = {"p9_found": _SQL}
