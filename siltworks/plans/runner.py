@@ -95,6 +95,7 @@ def run(df: DataFrame, config: dict, checkpoint_dir: str | None = None) -> DataF
         if done:
             start = done[-1] + 1
             df = keep.load(keys[done[-1]])
+    df = runtime.fit_partitions(df)  # rules are CPU-bound: a small corpus in one file would keep one core busy
     for key, group in list(zip(keys, groups, strict=True))[start:]:
         for s in group:
             df = apply(df, s)

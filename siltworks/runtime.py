@@ -55,6 +55,8 @@ def fit_partitions(df: DataFrame, least: int = 4) -> DataFrame:
     """
     spark = df.sparkSession
     want = max(least, spark.sparkContext.defaultParallelism)
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # shuffled already; asking for its partitions would run it
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
 
 
