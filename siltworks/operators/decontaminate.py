@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks import runtime
 from siltworks.functions import text
-from siltworks.operators.clean import col, event, with_event
-from siltworks.operators.inference import Client, ask
+from siltworks.operators.clean import col, event, processor, with_event
+from siltworks.operators.inference import Client, ask, embed
 
 #: Queries go to the executors in blocks of so many: 5,000 vectors of 1,024 floats are 20 MB.
 QUERIES = 5_000
@@ -127,3 +128,45 @@ def preview(neighbours: DataFrame, ks: tuple[int, ...] = (5, 10, 20, 50)) -> Dat
     """At each k: pairs, different rows, and the lowest and mean similarity."""
     k = F.explode(F.array(*(F.lit(x) for x in ks))).alias("k")
     return neighbours.select("*", k).where(F.col("rank") <= F.col("k")).groupBy("k").agg(F.count("*").alias("pairs"), F.countDistinct("id").alias("rows"), F.round(F.min("similarity"), 6).alias("lowest"), F.round(F.avg("similarity"), 6).alias("mean"))
+
+
+def phase_counts(records: DataFrame, benchmarks: DataFrame, target_phases: tuple[str, ...] = ("posttrain", "midtrain")) -> DataFrame:
+    """What a run would compare: target rows by phase and benchmark questions by set."""
+    rows = records.where(col("training_phase").isin(*target_phases)).groupBy(col("training_phase").alias("name")).agg(F.count("*").alias("rows")).withColumn("side", F.lit("records"))
+    sets = load_benchmarks(benchmarks).groupBy(F.col("dataset_name").alias("name")).agg(F.count("*").alias("rows")).withColumn("side", F.lit("benchmarks"))
+    return rows.unionByName(sets).select("side", "name", "rows")
+
+
+def embedded(df: DataFrame, record_id: str, embedder) -> DataFrame:
+    """``(id, embedding)`` of unit length, written once; empty texts have vectors too, if the embedder gives them."""
+    out = embed(df.select(col(record_id).alias("id"), col("question").alias("question")), "question", embedder)
+    return runtime.materialize(out.select("id", text.l2_normalize(F.col("embedding")).cast("array<float>").alias("embedding")), "embeddings")
+
+
+@processor("decontamination")
+def decontamination(df: DataFrame, benchmarks: DataFrame | None = None, embedder=None, client: Client | None = None, top_k: int = 10, similarity_threshold: float | None = None, target_phases: tuple[str, ...] = ("", "midtrain"), judge_all: bool = False) -> DataFrame:
+    """Each benchmark question's nearest target rows become their evidence; those the judge agrees on are dropped.
+
+    Only candidates at or over the threshold are judged, the others stand as 'no'; ``judge_all`` judges
+    every candidate and only records the threshold.
+    """
+    if benchmarks is None or embedder is None or client is None:
+        return df
+    if dict(df.dtypes)["decontamination"] != "string":
+        df = df.withColumn("decontamination", F.to_json("decontamination"))
+    targets = df.where(col("training_phase").isin(*target_phases))
+    bench = runtime.materialize(load_benchmarks(benchmarks), "benchmarks")
+    near = knn(embedded(bench, "uid", embedder), embedded(targets, "record_id", embedder), top_k)
+    asked = bench.select(F.col("uid").alias("query_id"), F.col("question").alias("benchmark_question"), F.col("dataset_name").alias("benchmark_source")).dropDuplicates(["query_id"])
+    rows = targets.groupBy(col("record_id").alias("id")).agg(F.min(col("question")).alias("question"))
+    pairs = runtime.materialize(near.join(asked, "query_id").join(rows, "id"), "candidates")
+    due = F.lit(True) if judge_all or similarity_threshold is None else F.col("similarity") >= similarity_threshold
+    columns = [F.col("id").alias("record_id"), F.col("query_id").alias("benchmark_id"), "benchmark_source", "similarity", "llm_decision"]
+    judged = judge(pairs.where(due), client).select(*columns).unionByName(pairs.where(~due).withColumn("llm_decision", F.lit("no")).select(*columns))
+    return attach_evidence(df, runtime.materialize(judged, "judged"), tuple(target_phases), None if judge_all else similarity_threshold, top_k)
+
+
+@processor("decontam_search")
+def decontam_search(df: DataFrame, **config) -> DataFrame:
+    return decontamination(df, **{"target_phases": ("posttrain", "midtrain"), "top_k": 20, **config}, judge_all=True)
+

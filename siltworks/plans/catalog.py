@@ -384,6 +384,21 @@ query("a03_drop_rates", f"SELECT (query_id % 1000)::VARCHAR AS benchmark_source,
 query("t10_preview")(lambda s, d: decontaminate.preview(_neighbours(s, d, 50)))
 
 
+def _letters(texts: list[str]) -> list[list[float]]:
+    """A stand-in embedder: counts of letters."""
+    return [[float(t.lower().count(c)) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+
+@query("x02_decontamination")
+def decontaminated(spark, d):
+    """Nearest records of every benchmark question, judged by a rule; evidence and tags of all records."""
+    out = decontaminate.decontamination(records(spark, d, True), runtime.table(spark, d, "benchmark_questions"), _letters, lambda p: '{"decision": "no"}', 5, 0.95)
+    return out.select("record_id", "training_phase", F.size(F.from_json("decontamination", schema.PAYLOADS["decontamination"])["candidates"]).alias("candidates"))
+
+
+query("x02_load", "SELECT 'records' AS side, training_phase AS name, count(*) AS rows FROM canonical_records WHERE training_phase IN ('posttrain', 'midtrain') GROUP BY 2 UNION ALL SELECT 'benchmarks', coalesce(dataset_name, ''), count(*) FROM benchmark_questions WHERE trim(question) <> '' GROUP BY 2")(lambda s, d: decontaminate.phase_counts(records(s, d), runtime.table(s, d, "benchmark_questions")))
+
+
 # ---- evaluation and model calls (a rule stands in for the model) ----
 
 

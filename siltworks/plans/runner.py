@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks import runtime, schema
-from siltworks.operators import dedup, evaluate, inference, relational  # noqa: F401 - they register operators
+from siltworks.operators import decontaminate, dedup, evaluate, inference, relational  # noqa: F401 - they register operators
 from siltworks.operators.clean import PROCESSORS
 from siltworks.sources import readers, writers
 

@@ -49,7 +49,7 @@ def test_routing_skips_tagged_rows_but_for_length(spark, name):
     assert r.filter_tag == ("short_question" if name == "length_filter" else "")
 
 
-@pytest.mark.parametrize("name", sorted(set(clean.PROCESSORS) - {"exact_dedup", "fuzzy_dedup", "dedup_judge"}))
+@pytest.mark.parametrize("name", sorted(set(clean.PROCESSORS) - {"exact_dedup", "fuzzy_dedup", "dedup_judge", "decontamination", "decontam_search"}))
 def test_nulls_blanks_long_texts_and_no_rows(spark, name):
     rows = [(None, None, None, None, None), ("a", "", "", "", ""), ("b", "long " * 20_000, "1", "", "d"), ("b", "long " * 20_000, "1", "", "d")]
     df = clean.PROCESSORS[name](records(spark, rows))
@@ -145,6 +145,17 @@ def test_evidence(spark):
     assert out["a"].training_phase == "drop" and out["c"].training_phase == "" and out["e"].decontamination == "{}"
 
 
+def test_decontamination_end_to_end(spark):
+    embedder = lambda ts: [[float(t.count(c)) for c in "abcxyz"] for t in ts]
+    bench = spark.createDataFrame([("b1", "aabbcc", "", "set"), ("b2", " ", "", "set")], "uid string, question string, ground_truth string, dataset_name string")
+    df = records(spark, [("r1", "abcabc", "", "", "d"), ("r2", "xyz", "", "", "d"), ("r3", "abc", "", "drop", "d")])
+    yes = lambda p: '{"decision": "yes", "reason": "same"}'
+    out = {r.record_id: r for r in decontaminate.decontamination(df, bench, embedder, yes, 2, 0.9).collect()}
+    assert out["r1"].filter_tag == "contaminated" and out["r2"].filter_tag == "" and out["r3"].decontamination == "{}"
+    assert json.loads(out["r2"].decontamination)["candidates"][0]["llm_decision"] == "no"
+    assert decontaminate.decontamination(df).count() == 3
+
+
 def test_decisions_that_do_not_parse_are_no():
     assert decontaminate.parse_decision("maybe") == ("no", "api_error") and decontaminate.parse_decision('{"decision": "YES", "reason": "r"}') == ("yes", "r")
 
