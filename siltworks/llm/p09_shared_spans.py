@@ -205,10 +205,11 @@ def cliques(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> tuple[
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where(F.col("doc").isNotNull() & (F.length("text") >= length))
     wide = runtime.fit_partitions(docs)
     found = runtime.materialize(wide.mapInArrow(_scan(length), "key long, cls long, doc long, pos int"), "p09-anchors")
-    classes = found.groupBy("cls").agg(F.min("doc").alias("rep"))
-    # prefixes of one class only go before anything is joined
+    # copies of a text have the same anchors: combined map-side, each class stands once under its smallest id
+    once = found.groupBy("key", "cls", "pos").agg(F.min("doc").alias("doc"))
+    # prefixes of one class only go before any text is moved
     shared = found.groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("key")
-    kept = found.join(shared, "key", "left_semi").join(classes, "cls").where("doc = rep")
+    kept = once.join(shared, "key", "left_semi")
     places = kept.groupBy("doc").agg(F.collect_set(F.struct("pos", "key")).alias("s")).select("doc", F.col("s.pos").alias("pos"), F.col("s.key").alias("keys"))
     suffixes = docs.join(places, "doc")
     suffixes = runtime.materialize(suffixes.select("doc", "text", "pos", "keys").mapInArrow(_contexts(length), "doc long, key long, pos int, left string, right string").dropDuplicates(["doc", "key", "pos"]), "p09-suffixes")
@@ -218,6 +219,7 @@ def cliques(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> tuple[
     tree = small.groupBy("key").applyInPandas(_trees(length), _CLIQUE)
     wide_keys = hot.select("doc", "pos", "left", "right").mapInArrow(_widened(length), _CLIQUE)
     several = wide_keys.groupBy("clique").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("clique")
+    classes = found.groupBy("cls").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")).where("rep <> last").select("cls", "rep")
     copies = found.select("cls", "doc").distinct().join(classes, "cls").where("doc <> rep").select("doc", "rep")
     return runtime.materialize(tree.unionByName(wide_keys.join(several, "clique", "left_semi")), "p09-cliques"), copies
 
