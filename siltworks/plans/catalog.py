@@ -411,6 +411,17 @@ query("e01_verification")(lambda s, d: evaluate.build_verification(records(s, d)
 query("e02_answer_judge")(lambda s, d: evaluate.answer_judge(records(s, d), _agree).select(*ROUTED))
 query("e03_sample_judge")(lambda s, d: evaluate.sample_answer_judge(records(s, d)).select(*ROUTED))
 query("e04_difficulty")(lambda s, d: evaluate.difficulty_annotation(records(s, d), lambda p: f"about {len(p) % 10 + 1}").select("record_id", "verification.difficulty_annotation.score"))
+_V = "(SELECT record_id, coalesce(question, '') AS question, coalesce(dataset_name, '') AS dataset_name, coalesce(training_phase, '') AS training_phase, coalesce(filter_tag, '') AS filter_tag, CASE WHEN json_valid(verification) THEN verification END AS v FROM canonical_records)"
+_N = "coalesce(json_array_length(v, '$.samples'), 0)"
+_LOW = f"training_phase = 'posttrain' AND {_N} > 0 AND coalesce(TRY_CAST(json_extract_string(v, '$.majority_count') AS INTEGER), 0) < 2"
+ORACLES["e03_sample_judge"] = f"SELECT record_id, CASE WHEN {_LOW} THEN 'midtrain' ELSE training_phase END AS training_phase, CASE WHEN {_LOW} THEN 'low_confidence' ELSE filter_tag END AS filter_tag FROM {_V}"
+ORACLES["e07_retry"] = f"SELECT record_id FROM {_V} WHERE {_N} < 3 AND length(question) <= 12000"
+ORACLES["e06_clear_incomplete"] = f"SELECT record_id, CASE WHEN {_N} BETWEEN 1 AND 2 OR (n > 0 AND ({_N} < 3 OR n < 3)) THEN NULL ELSE n0 END AS num_samples FROM (SELECT *, TRY_CAST(json_extract_string(v, '$.num_samples') AS INTEGER) AS n0, coalesce(TRY_CAST(json_extract_string(v, '$.num_samples') AS INTEGER), 0) AS n FROM {_V})"
+ORACLES["a13_usefulness"] = f"SELECT dataset_name, count(*) AS samples, count(*) FILTER (WHERE coalesce(json_extract_string(e, '$.answer'), '') <> '') AS with_answer, count(*) FILTER (WHERE json_extract_string(e, '$.judge_correct') = 'true') AS judged_right FROM (SELECT dataset_name, unnest(json_extract(v, '$.samples[*]')) AS e FROM {_V} WHERE json_extract_string(v, '$.majority_matches_gt') = 'false') GROUP BY 1"
+_E = "(SELECT coalesce(record_id, '') AS record_id, coalesce(dataset_name, '') AS dataset_name, unnest(list_transform(json_extract(trace, '$[*]'), lambda e, i: {'step': i - 1, 'e': e})) AS x FROM canonical_records WHERE json_valid(trace) AND json_type(trace) = 'ARRAY')"
+ORACLES["a04_trace_counts"] = f"SELECT dataset_name, json_extract_string(x.e, '$.processor') AS processor, json_extract_string(x.e, '$.status') AS status, count(*) AS events FROM {_E} GROUP BY 1, 2, 3"
+ORACLES["k03_audit"] = f"SELECT record_id, x.step::INTEGER AS step, json_extract_string(x.e, '$.processor') AS processor, json_extract_string(x.e, '$.status') AS status, json_extract_string(x.e, '$.reason_code') AS reason_code FROM {_E}"
+ORACLES["t10_preview"] = "SELECT k, count(*) AS pairs, count(DISTINCT id) AS rows, round(min(s), 6) AS lowest, round(avg(s), 6) AS mean FROM (" + ORACLES["j08_knn"].replace("rank <= 10", "rank <= 50").replace("round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity", "round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS s").replace("query_id, id, rank, similarity", "id, rank, s") + ") n, (VALUES (5), (10), (20), (50)) v(k) WHERE rank <= k GROUP BY 1"
 _RATIO = "CASE WHEN json_valid(verification) THEN coalesce(TRY_CAST(json_extract_string(verification, '$.pass_ratio') AS DOUBLE), 0) ELSE 0 END"
 query("e05_pass_ratio", f"SELECT record_id FROM canonical_records WHERE {_RATIO} BETWEEN 0.2 AND 0.9")(lambda s, d: evaluate.pass_ratio_filter(records(s, d), 0.2, 0.9).select("record_id"))
 query("e06_clear_incomplete")(lambda s, d: evaluate.clear_incomplete(records(s, d), 3).select("record_id", "verification.num_samples"))
