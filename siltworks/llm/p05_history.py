@@ -176,8 +176,16 @@ class HashForest:
         self.hot = runtime.materialize(hot, "p05-hot")
         self.has_hot = bool(self.hot.take(1))
         if self.has_hot:
-            salted = self.base.join(self.hot.select("slot"), "slot").withColumn("salted", F.xxhash64("slot", F.pmod(F.xxhash64("tid"), F.lit(SALTS))))
-            self.hot_base = self._bucketed(salted.repartition(self.buckets, "salted"), f"hot{generation}", "salted")
+            self.hot_base = self._bucketed(self._salted(self.base).repartition(self.buckets, "salted"), f"hot{generation}", "salted")
+
+    def _salted(self, keys: DataFrame) -> DataFrame:
+        """The entries of history in hot slots, spread over ``SALTS`` keys a slot."""
+        return keys.join(self.hot.select("slot"), "slot").withColumn("salted", F.xxhash64("slot", F.pmod(F.xxhash64("tid"), F.lit(SALTS))))
+
+    def _wide(self, keys: DataFrame) -> DataFrame:
+        """The batch's keys in hot slots, under every salt."""
+        wide = keys.join(self.hot.select("slot"), "slot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return wide.withColumn("salted", F.xxhash64("slot", F.col("salt").cast("long")))
 
     def _verified(self, pairs: DataFrame, mine: DataFrame, theirs: DataFrame) -> DataFrame:
         """The ``(tid, text)`` of the batch that have a similar text among their candidates ``(tid, other)``."""
@@ -208,13 +216,20 @@ class HashForest:
             early = runtime.materialize(self._verified(some, rest, self.texts), "p05-early")
             found.append(early)
             keys = keys.join(early.select("tid"), "tid", "left_anti")
-            wide = keys.join(self.hot.select("slot"), "slot").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salted", F.xxhash64("slot", F.col("salt").cast("long")))
-            found.append(self._verified(self._met(wide, self.hot_base, "salted"), rest, self.texts))
-            keys = keys.join(self.hot.select("slot"), "slot", "left_anti")
-        found.append(self._verified(self._met(keys, self.base), rest, self.texts))
+            some = runtime.materialize(self._verified(self._met(self._wide(keys), self.hot_base, "salted"), rest, self.texts), "p05-hot-found")
+            found.append(some)
+            keys = runtime.materialize(keys.join(some.select("tid"), "tid", "left_anti"), "p05-open")
+            cold = keys.join(self.hot.select("slot"), "slot", "left_anti")
+        else:
+            cold = keys
+        found.append(self._verified(self._met(cold, self.base), rest, self.texts))
         if self.runs:
+            # slots hot in the base are asked in the runs too, salted
             run_keys, run_texts = _union([k for _, k in self.runs]), _union([t for t, _ in self.runs])
-            found.append(self._verified(self._met(keys, run_keys), rest, run_texts))
+            met = self._met(cold, run_keys)
+            if self.has_hot:
+                met = met.unionByName(self._met(self._wide(keys), self._salted(run_keys), "salted"))
+            found.append(self._verified(met, rest, run_texts))
         return _union(found).distinct()
 
     def append(self) -> None:

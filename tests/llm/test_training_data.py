@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 import re
+from collections import Counter
 from datetime import datetime
 
 import numpy as np
@@ -191,6 +192,24 @@ def test_repeats_against_brute_force(spark, hot):
     assert got <= want and len(got) >= 0.97 * len(want) and {"late", "s1", "nobatch"} <= got and "twin1" not in got
 
 
+def test_a_match_in_an_earlier_batch_is_found_where_all_slots_are_hot_in_the_base(spark):
+    r = random.Random(5)
+    first = words(r, 12)
+    second = first[:-1] + ("q" if first[-1] != "q" else "r")
+    base = set()
+    while len(base) < 1_500:
+        t = list(first)
+        for i in r.sample(range(len(t)), 5):
+            t[i] = r.choice("qrstuv")
+        if not any(p5.similar("".join(t), x) for x in (first, second)):
+            base.add("".join(t))
+    known = Counter(p5.slots(sorted(base), p5.depth_for())[0].ravel().tolist())
+    assert p5.similar(first, second) and all(known[k] > 2 for k in p5.slots([first, second], p5.depth_for())[0].ravel().tolist())
+    incoming = spark.createDataFrame([("a", first, 1), ("b", second, 2), ("c", words(r, 12), 2)], "uid string, question string, batch_no int")
+    canonical = spark.createDataFrame([(t,) for t in base], "question string")
+    assert {x.uid for x in p5.repeats(canonical, incoming, hot=2).collect()} == {"b"}
+
+
 def test_repeats_of_empty_tables(spark):
     c, i = spark.createDataFrame([], "question string"), spark.createDataFrame([("u", "some words here", 1)], "uid string, question string, batch_no int")
     assert p5.found(c, i).count() == 0 and p5.found(c, i.limit(0)).count() == 0
