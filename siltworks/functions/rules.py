@@ -289,6 +289,9 @@ TRANSLATION = [
 ]
 MATH_INSTRUCTION = ("i", r"\b(?:solve|find|determine|evaluate|prove|simplify|calculate|compute|show that|how many|what is the (?:value|sum|product|remainder|probability))\b")
 MATH_OBJECT = ("i", r"\b(?:equation|inequality|integer|polynomial|probability|triangle|circle|rectangle|polygon|matrix|determinant|derivative|integral|limit|sequence|series|permutation|combination|divisor|prime|modulo|hypotenuse|midpoint|diameter|radius|vertex|vertices|arithmetic|geometric|binomial|factorial|logarithm)\b")
+NON_MATH_CODE = ("i", r"\breact\b|\btypescript\b|\bjavascript\b|\bpython (?:program|script|code|class|function)\b|\bcode snippet\b|\bgenerate an executable\b|\bfunction that (?:takes|returns|accepts)\b|\bhtml\b|\bcss\b|\bjson\b|\bxml\b|\bapi\b|\bhttp\b|\bcomponent\b|\bwebpack\b|\bnpm\b|\bpip install\b|\bclass \w+\s*[({]|\bdef \w+\s*\(|\bimport \w+|\bconsole\.log\b|\bprint\s*\(|\brust\b|\bf#\b|\bc\+\+\b|\bbash\b|\bshell\b|\bsql\b|\bdatabase\b|\bpostgresql\b|\bmysql\b|\bdocker\b|\bkubernetes\b|\bcompetitive programming\b|\bimplementation in\b|\bcode block\b|\bcode review\b|\bwrite (?:a |an )?(?:program|script|function|class|method|code|paper|essay|poem|story|report|letter|article|blog|email|proposal|review|summary|speech|song|paragraph|prompt|query|test|unit test|VBA|macro|regex|sql|rule|policy|specification|contract|recipe|tutorial|guide|manual|dialogue|outline|hypothesis|thesis|dissertation|critique|memo|note|message|notification|announcement|invitation|press release|newsletter|whitepaper)\b|\bcreate (?:a |an )?(?:class|program|function|script|method|table|chart|dashboard|diagram|visualization|model|pipeline|workflow|template|spreadsheet|database|schema|index|view|trigger|procedure|API|endpoint|component|module|package|library|framework|interface|service|application|website|page|form|survey|quiz|test|report|presentation|infographic|poster|flyer|brochure|banner|logo|mockup|wireframe|prototype|storyboard|animation|video|playlist|schedule|plan|roadmap|strategy|budget|forecast|persona|profile|portfolio)\b|\bdesign (?:a |an )?(?:class|system|architecture|schema|database|API|interface|layout|page|form|template|component|module|service|pipeline|workflow|algorithm|data structure|protocol|pattern|experiment|study|survey|curriculum|syllabus|lesson plan)\b|\bbuild (?:a |an )?(?:class|function|system|application|website|dashboard|pipeline|model|API|service|module|tool|bot|agent|crawler|scraper|parser|compiler|interpreter|simulator|emulator)\b|\bconstruct (?:a |an )?(?:class|function|program|query|regex|table|view|schema|pipeline|workflow|model|proof|argument)\b|\bimplement (?:a |an )?(?:function|class|method|algorithm|system|module|component|service|API|interface|protocol|pipeline|solution|feature|handler|middleware|decorator|observer|factory)\b|\bExpected Time Complexity\b|\bExpected Auxiliary Space\b|\bInput Format\b|\bOutput Format\b|\bSample Input\b|\bSample Output\b|\bstdin\b.*\bstdout\b|\bsolve the following coding problem\b|\bsolve the following problem using\b.*\b(?:python|java|c\+\+|rust|go|lisp)\b|\bconvert this code\b|\btranslate this code\b|\brefactor\b.*\bcode\b|\bdebug\b.*\bcode\b|\bdata structure\b|\blinked list\b|\bbinary tree\b|\bhash map\b|\bsorting algorithm\b|\btime complexity\b|\bspace complexity\b|\bunit test\b|\btest case\b|\berror handling\b|\bjava\b(?!script)|\bruby\b|\bscala\b|\bswift\b|\bkotlin\b|\bperl\b|\bphp\b|\bdjango\b|\bflask\b|\bspring\b|\bangular\b|\bvue\b|\bnextjs\b|\btensorflow\b|\bpytorch\b|\bscikit\b|\breturn (?:a |the )?(?:list|dict|array|string|tuple|boolean)\b|\biterable\b|\bgenerator\b|\bdecorator\b|\bcallback\b|\btype hints?\b|\bedge cases?\b|```(?:python|java|javascript|typescript|ruby|php|cpp|c\+\+|rust|go|swift|kotlin|scala|sql|bash|shell|csharp|c#|erlang|haskell|lua|perl|r\b|matlab|objective-c|dart|groovy|elixir|clojure|fortran|assembly|vb|visual basic|powershell|zig|nim|ocaml|racket|scheme|lisp|prolog|cobol|ada|fsharp|vhdl|verilog|tcl|awk|sed)\b|\bport this code\b|\btranslate this (?:code|snippet)\b|\bconvert this (?:code|snippet)\b|\bpredict the output\b|\bgiven (?:the |this )?code\b.*\boutput\b|\bImplement a (?:Python|Java|C\+\+|Rust|Go|Ruby|PHP|Swift|Kotlin) (?:program|class|function|method|script)\b|\bCreate a (?:Python|Java|C\+\+|Rust|Go) (?:program|script|class)\b|\bmodify (?:a |the )?code\b|\badapt(?:ed)? code\b|\breturn the adapted code\b|\bretrieve and repeat the exact described function\b|\bcode context\b|\btool output\b|\bcli transcript\b|\bdiff --git\b|\bdeleted file mode\b|\bterminal output\b|\bpatch file\b|\bfunction '?\w+'?\s*,?\s*which manipulates\b")
+NON_MATH_GENERAL = ("i", r"\b(?:summary|summarize|email|recipe|story|essay|paragraph|article|recommend|career|manager|partner|charity|food bank|stage fright|social media|marketing|customer service|cover letter|resume|roleplay|fanfic|storytelling|creative writing|describe the landscape|how are you feeling|remote workers?|code reviews?|best practice|seo|keywords for instagram|amazon store|law school|guitar|customers?|products?|edit (?:this|the) (?:text|paragraph|sentence)|your (?:entire )?response should|answer the following question\b.*\b(?:capable|classify)|workout|exercise routine|yoga|grad school|university admission|youtube channel|podcast|blog post|etsy|shopify|e-commerce|instagram|tiktok|twitter|facebook|breaking news|journalism|car enthusiast|car restoration|real estate|stock market|cooking|ingredient|travel guide|travel itinerary|fashion|beauty|makeup|mental health|therapy|counseling|restructuring|revenue.*(?:AI|machine learning|business)|codename|project release|transitional phrase|improve (?:this|the) sentence|rewrite (?:this|the) (?:text|sentence|paragraph)|paraphrase|proofread|grammar|what (?:are|is) (?:the )?(?:best|most important) (?:factors?|tips?|ways?)|how (?:can|should) (?:I|we|a company)|launch (?:a|an|my) (?:channel|platform|business|startup)|presentation tips|slide deck|job (?:search|interview|application)|make a note for|write a self introduction|sustainable construction|novel.*material|explain the characteristics of|ratio scale of measurement|love language|marriage counselor|youtube video|youtube channel|movie titles|video tags|annotation platform|feature request|product requirement|interrogation-style technique|traduit en anglais|translate into english|family member to open up|what is one nation conservatism|write (?:a |an |the )?(?:paper|essay|report|letter|email|blog|post|speech|song|poem|story|review|summary|script|dialogue|memo|note|invitation|announcement|press release|newsletter|whitepaper|proposal|contract|policy|manual|guide|tutorial|critique|thesis|dissertation|outline|hypothesis|message|notification|brochure|flyer|poster|introduction|conclusion|abstract|biography|profile|description|response|answer|reply|comment|feedback|testimonial|caption|tagline|slogan|headline|title|subtitle|blurb|excerpt|foreword|preface|afterword|appendix|acknowledgement|dedication|epigraph|glossary|bibliography|index|syllabus|lesson plan|curriculum|case study|analysis report|research proposal|business plan|marketing plan|project plan|grant proposal|cover letter|resignation letter|recommendation letter|thank you note|condolence message|congratulation message|apology letter|complaint letter|reference letter)\b|(?:your|my) role is\b|you are acting as\b|(?:imagine|pretend|assume) you (?:are|were)\b|act as (?:a |an |the )?\w+|play the role of\b|respond (?:as|like) (?:a |an )\w+|you(?:'re| are) (?:a |an )(?:helpful|friendly|creative|expert|professional|senior|experienced)\b|classify (?:the |this |these )?(?:text|sentence|review|comment|tweet|post|document)|sentiment (?:analysis|classification)|named entity recognition|text classification|topic modeling|extract (?:keywords?|entities|topics|information|data) from|generate (?:a |an )?(?:title|headline|caption|summary|tagline|slogan|description|name|username|password|hashtag|keyword|tag)\b|respond in (?:exactly )?\d+ (?:words?|sentences?|paragraphs?|bullets?|points?)|keep (?:your |the )?(?:response|answer|reply) (?:under|within|to) \d+|use (?:only |exactly )?\d+ (?:words?|sentences?|paragraphs?)|in (?:no more|at most|at least|exactly) \d+ (?:words?|sentences?)|limit (?:your |the )?(?:response|answer|output) to\b|format (?:your |the )?(?:response|answer|output) as\b|provide (?:your |the )?(?:response|answer) in (?:bullet|numbered|list|table) form|how are you\b|what do you think about\b|tell me (?:about yourself|a joke|something interesting|a fun fact)|what(?:'s| is) your (?:name|opinion|favorite|favourite)|do you (?:like|enjoy|prefer|have|know|think)\b|(?:give|provide|offer|share) (?:me |us )?(?:some |a few |several )?(?:tips?|advice|suggestions?|recommendations?|ideas?|examples?)\b.*(?:for|on|about|to|regarding) (?:my|our|the|a|an|your)\b|(?:help|assist) me (?:with |in )?(?:writing|drafting|composing|preparing|creating|making|designing|planning|organizing|managing)\b|legal (?:advice|opinion|analysis|document|contract|brief|case|precedent)|(?:medical|clinical|health) (?:advice|diagnosis|treatment|symptom|condition)|(?:financial|investment|tax|accounting) (?:advice|analysis|plan|strategy|report)|political (?:science|analysis|opinion|debate|party|campaign)|(?:history|historical) (?:event|figure|period|analysis|context)|(?:philosophy|philosophical) (?:argument|analysis|perspective|thought)|(?:psychology|psychological) (?:analysis|theory|concept|experiment)|(?:geography|geographical) (?:feature|location|region|country|city)|(?:music|musical) (?:theory|composition|arrangement|analysis|instrument)|(?:art|artistic) (?:style|movement|technique|criticism|analysis|medium)|(?:literature|literary) (?:analysis|criticism|device|technique|genre|movement)|(?:religion|religious) (?:belief|practice|text|tradition|doctrine)|(?:sports?|athletic) (?:training|strategy|analysis|statistics|rule)|(?:nutrition|dietary) (?:advice|plan|requirement|supplement|intake)|(?:agriculture|farming) (?:technique|practice|crop|soil|irrigation)|(?:architecture|architectural) (?:style|design|plan|feature|element)|(?:engineering) (?:design|analysis|system|process|specification)|(?:environmental|ecology|ecological) (?:impact|analysis|conservation|issue)|(?:economic|economics) (?:analysis|theory|policy|model|indicator)|(?:sociology|sociological) (?:theory|analysis|concept|study|research)|explain (?:the |a )?(?:difference|concept|idea|theory|history|meaning|significance|purpose|importance|impact|effect|cause|reason|process|mechanism|principle|law|rule|regulation|policy|advantage|disadvantage|benefit|drawback|pro|con|role|function|responsibility|duty)\s+(?:of|between|behind|in)\b|translate (?:this|the|these|following)?\s*(?:text|sentence|paragraph|word|phrase|document|page|passage|excerpt|quote)\b|(?:from|into|to) (?:english|french|spanish|german|chinese|japanese|korean|arabic|russian|portuguese|italian|dutch|hindi|bengali|thai|turkish|vietnamese|polish|czech|swedish|danish|norwegian|finnish|greek|hebrew|romanian|hungarian|indonesian|malay|tagalog|swahili|persian|urdu)\b|argue (?:for|against|that)\b|what are the (?:pros? and cons?|advantages? and disadvantages?)\b|(?:is it|should we|should I|do you think) (?:ethical|moral|right|wrong|fair|just)\b|discuss (?:the |whether |if )\b)\b")
+NON_MATH_STEM = ("i", r"\b(?:chemical|chemistry|reaction|synthesis|compound|molar mass|titrat|solvolysis|epoxidation|hydrogenation|decarboxylation|nmr|hplc|ftir|spectroscopy|chromatograph|distillation|anhydride|nucleophil|electrophil|enantiomer|diastereomer|stereoisomer|oxidation state|electron|quantum|photon|wavelength|doppler|gravitational|angular momentum|spin|magnetic|electromagnetic|nuclear|fusion reactor|fission|radioactiv|biological|organism|protein|enzyme|gene|genome|dna|rna|mutation|allele|phenotype|genotype|cytochrome|medical|clinical|diagnos|symptom|patient|biopsy|pharmacolog|drug|dosage|antenatal|pendulum|friction|torque|velocity|acceleration|thermodynamic|enthalpy|entropy|gibbs free energy|clapeyron|refractive index|reflectivity|diffraction|fluid dynamics|viscosity|reynolds|bernoulli|circuit|resistor|capacitor|inductor|impedance|permeability|permittivity|dielectric|electric field|magnetic field|Lorentz|Maxwell.*equation|Schrodinger|special relativity|general relativity|Newton(?:'s)? (?:law|second law|third law)|projectile|free ?fall|kinetic energy.*potential energy|electric potential|wavefunction|quantum number|orbital.*electron|spectral (?:slope|line|emission)|conducting sphere|capacitance|EMF.*induced|Faraday|redshift|absorption.*spectrum|molecular weight|molarity|concentration.*(?:M|mol/L)|acid[- ]base|neutralization|hydrolysis|precipitat|saturated solution|K_?sp|solubility product|reaction rate|rate constant|activation energy|lewis (?:acid|base|structure)|VSEPR|hybridization.*(?:sp|sp2|sp3)|halogen|halide|pseudohalide|phenol|sodium phenate|CRISPR|sgRNA|gene knockout|Hi-C|enhancer-promoter|chromatin|antibody|antigen|immuno|histopathology|carcinoma|tumor|breast cancer|BRCA|perineal|obstetric|diffusion capacity|lung condition|renal|hepatic|cardiac|DNA probe|nucleotide.*polymorphism|biological (?:sample|marker|pathway)|neutrino|quark|Higgs|Boltzmann.*distribution|ionization.*(?:energy|constant)|pH.*(?:solution|buffer))\b")
 CHAT_TRANSCRIPT = ("im", r"^\s*(?:system|user|assistant)\s*:|<\s*(?:system|user|assistant|think)\s*>|\b(?:follow|obey)\s+(?:the )?system rules\b")
 MATH_ROLE = ("i", r"\b(?:math(?:ematic(?:s|ian))?|statistic(?:s|ian)|actuary|tutor|professor|teacher|instructor|lecturer|solver|logician)\b")
 STRONG_CODE = ("i", r"\bwrite (?:a |an )?(?:python|java|c\+\+|rust|go|ruby|php) (?:program|function|class|script|method)\b|\b(?:python|java|c\+\+|rust|go|ruby|php) (?:program|function|class|script) (?:that|which|to)\b|\bcreate (?:a |an )?(?:python|java|c\+\+|rust|go) (?:program|function|class|script|method)\b|\bimplement (?:a |an )?(?:python|java|c\+\+|rust|go) (?:program|function|class|script|method)\b|\bsolve the following (?:coding|programming) problem\b|```(?:python|java|javascript|typescript|ruby|php|cpp|c\+\+|rust|go|swift|kotlin|scala|sql|bash|shell|csharp|erlang|haskell|lua|perl|vb|visual basic|powershell)\b|\bport this code\b|\btranslate this code\b|\bconvert this code\b|\bpredict the output of\b.*\bcode\b|\bgiven (?:the |this )?code\b.*\b(?:output|what (?:does|will|is))\b|\bfunction '?\w+'?\s*,?\s*which manipulates\b|\bcompetitive programming problem\b|\bmodify (?:a |the )?code file\b|\breturn the adapted code\b")

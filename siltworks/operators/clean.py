@@ -184,16 +184,8 @@ def language_filter(df: DataFrame, other_threshold: float = 0.1, cjk_threshold:
     return route(df, "language_filter", v, "dropped")
 
 
-#: The large vocabularies of tasks that aren't mathematics, as (flags, pattern) by role. They are a
-#: parameter of ``math_filter``; these defaults are built from short lists.
-_LANGUAGES = ["python", "java", "javascript", "typescript", "ruby", "scala", "swift", "kotlin", "perl", "php", "rust", "bash", "sql", "html", "css"]
-_WORKS = ["essay", "poem", "story", "report", "letter", "article", "blog", "email", "song", "speech", "recipe", "resume"]
-_STEM = ["chemical", "chemistry", "reaction", "molar mass", "enzyme", "protein", "genome", "dna", "rna", "quantum", "photon", "wavelength", "magnetic", "nuclear", "velocity", "acceleration", "torque", "enthalpy", "entropy", "resistor", "capacitor", "clinical", "symptom", "patient"]
-VOCABULARIES: dict[str, tuple[str, str]] = {
-    "code": ("i", rf"\b(?:{'|'.join(_LANGUAGES)})\b|\b(?:write|create|implement|build|design) (?:a |an )?(?:program|script|function|class|method|code|component|database)\b|\bcode (?:snippet|block|review)\b|\bfunction that (?:takes|returns|accepts)\b"),
-    "general": ("i", rf"\bwrite (?:a |an |the )?(?:{'|'.join(_WORKS)})\b|\b(?:summarize|paraphrase|proofread|roleplay|marketing|instagram|youtube (?:video|channel)|movie titles|social media|cover letter)\b"),
-    "stem": ("i", rf"\b(?:{'|'.join(_STEM)})\b"),
-}
+#: The large vocabularies of tasks that aren't mathematics, as (flags, pattern). ``math_filter`` takes others in their place.
+VOCABULARIES: dict[str, tuple[str, str]] = {"code": rules.NON_MATH_CODE, "general": rules.NON_MATH_GENERAL, "stem": rules.NON_MATH_STEM}
 
 
 def _non_math_role(c: Column) -> Column:

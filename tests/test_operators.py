@@ -57,6 +57,15 @@ def test_nulls_blanks_long_texts_and_no_rows(spark, name):
     assert clean.PROCESSORS[name](records(spark, rows).limit(0)).count() == 0
 
 
+def test_math_filter_has_the_whole_vocabularies(spark):
+    code = ["Run the docker container on port 8.", "What does kubernetes start first?", "Read this json of 5 numbers.", "Look at def f(x) for the value 3.", "Why does pip install stop here?"]
+    general = ["Which career suits me?", "Plan a workout of 30 minutes.", "Which podcast has 12 parts?"]
+    stem = ["Determine the friction on the block.", "Use spectroscopy to name the sample.", "What is the diffraction pattern?", "Which drug dosage is right?"]
+    kept = ["Find the value of the integral of x.", "How many primes are below one hundred?"]
+    df = records(spark, [(t, t, "", "", "d") for t in code + general + stem + kept])
+    assert {r.record_id for r in clean.math_filter(df).where("filter_tag = 'non_math_signal'").collect()} == {*code, *general, *stem}
+
+
 def test_unwrapping_and_conversion(spark):
     r = clean.instruction_wrapper_cleaner(records(spark, [("r", "User: Solve x+1=2\n</think>", "", "", "d")])).first()
     assert r.question == "Solve x+1=2"
