@@ -359,6 +359,17 @@ def _incoming_pairs(spark, d, exact: bool = True) -> DataFrame:
 query("d02_jaccard_pairs", f"WITH {_PAIRS} SELECT left_id, right_id, round(s, 6) AS similarity FROM p")(lambda s, d: _incoming_pairs(s, d).withColumn("similarity", F.round("similarity", 6)))
 query("d02_lsh_pairs")(lambda s, d: _incoming_pairs(s, d, False))
 query("d04_fuzzy_dedup", f"WITH RECURSIVE {_PAIRS}, e AS MATERIALIZED (SELECT left_id a, right_id b FROM p UNION SELECT m, id FROM (SELECT id, min(id) OVER (PARTITION BY t) AS m FROM n) WHERE m <> id), y AS MATERIALIZED (SELECT a x, b y FROM e UNION SELECT b, a FROM e), v AS (SELECT id AS x, id AS y FROM n UNION SELECT v.x, y.y FROM v JOIN y ON v.y = y.x) SELECT record_id FROM (SELECT x AS record_id, min(y) AS m FROM v GROUP BY 1) WHERE m = record_id")(lambda s, d: dedup.fuzzy_dedup(_incoming(s, d)).select("record_id").distinct())
+
+
+def _canonical_pairs(spark, d, exact: bool = True) -> DataFrame:
+    """Near duplicates among all canonical records, of any phase; too many for a self-join in SQL."""
+    reps = dedup.classes(records(spark, d)).where("id = rep").select("id", "text")
+    return (dedup.jaccard_pairs(reps) if exact else dedup.lsh_pairs(reps)).withColumn("similarity", F.round("similarity", 6))
+
+
+query("d02_canonical_jaccard_pairs")(_canonical_pairs)
+query("d02_canonical_lsh_pairs")(lambda s, d: _canonical_pairs(s, d, False))
+query("d04_canonical_fuzzy_dedup")(lambda s, d: dedup.fuzzy_dedup(records(s, d)).select("record_id").distinct())
 query("a11_similarity_buckets", "SELECT round(floor(similarity / 0.05 + 1e-9) * 0.05, 6) AS bucket, count(*) AS pairs FROM dedup_pairs WHERE similarity IS NOT NULL AND NOT isnan(similarity) GROUP BY 1")(lambda s, d: dedup.similarity_buckets(runtime.table(s, d, "dedup_pairs").where("similarity is not null and not isnan(similarity)")))
 query("a11_thresholds")(lambda s, d: dedup.threshold_sensitivity(runtime.table(s, d, "dedup_pairs").where("left_id is not null and right_id is not null and not isnan(similarity)"), [0.7, 0.8, 0.9]))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltworks import schema
 from siltworks.operators import clean, decontaminate, dedup, evaluate, inference, relational
-from siltworks.plans import runner
+from siltworks.plans import catalog, runner
 from siltworks.sources import readers
 
 
@@ -128,6 +128,32 @@ def test_fuzzy_dedup_keeps_passive_rows(spark):
     assert {r.record_id for r in dedup.fuzzy_dedup(df).collect()} == {"a", "c", "d"}
 
 
+def test_near_duplicates_of_canonical_records(spark, tmp_path):
+    r = random.Random(3)
+    rows = []
+    for i in range(12):
+        q = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(8))
+        rows += [(f"{i:02d}a", q, "posttrain" if i % 3 else "drop"), (f"{i:02d}b", q[:-1] + "z", ""), (f"{i:02d}c", q[:20] + "zz" + q[22:], None), (f"{i:02d}d", q.upper() + "!", "midtrain")]
+    spark.createDataFrame(rows, "record_id string, question string, training_phase string").write.parquet(f"{tmp_path}/canonical_records.parquet")
+    norm = lambda t: t.lower().strip("!")
+    sets = {i: {norm(t)[k : k + 3] for k in range(len(t) - 2)} for i, t, _ in rows}
+    sets = {i: {g for g in x if len(g) == 3} for i, x in sets.items()}
+    near = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    rep = {t: min(i for i, u, _ in rows if norm(u) == t) for t in {norm(u) for _, u, _ in rows}}
+    want = {p for p in near if set(p) <= set(rep.values())}
+    got = {name: catalog.QUERIES[name](spark, str(tmp_path)).collect() for name in ("d02_canonical_jaccard_pairs", "d02_canonical_lsh_pairs", "d04_canonical_fuzzy_dedup")}
+    assert {(x.left_id, x.right_id) for x in got["d02_canonical_jaccard_pairs"]} == want and want
+    assert {(x.left_id, x.right_id) for x in got["d02_canonical_lsh_pairs"]} <= want
+    passive = {i for i, _, p in rows if p == "drop"}
+    links = {i: {i} for i in sets if i not in passive}
+    for a, b in near:
+        if not {a, b} & passive:
+            both = links[a] | links[b]
+            for x in both:
+                links[x] = both
+    assert {x.record_id for x in got["d04_canonical_fuzzy_dedup"]} == passive | {min(x) for x in links.values()}
+
+
 def test_bands_are_checked(spark):
     with pytest.raises(ValueError):
         dedup.band_keys(spark.createDataFrame([("a", "t")], "id string, text string"), 64, 65)
