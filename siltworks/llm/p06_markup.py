@@ -44,6 +44,7 @@ _TAGS = "a abbr b blockquote body br center cite code dd del div dl dt em figure
 _MATH_ENV = r"(?:[pbvVB]?matrix|smallmatrix|align|aligned|equation|cases|array|gather|gathered|multline|eqnarray|split|displaymath)\*?"
 _TEXT_ENV = r"(?:itemize|enumerate|description|center|quote|quotation|verse|verbatim|lstlisting|abstract|document|figure|table|tabular|flushleft|flushright|minipage|proof|theorem|lemma|example|problem|solution)\*?"
 _SECTION = r"(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph|title)\*?"
+_SWITCH = r"\{\\(?:bf|it|em|tt|sc|rm|large|Large|small)\b"
 _STYLE = r"(?:textbf|textit|emph|underline|texttt|textsc|textrm|textsf|textsl|textnormal)"
 _SPACE = r"(?:vspace|hspace)\*?"
 _BARE = r"(?:noindent|bigskip|medskip|smallskip|newpage|clearpage|pagebreak|newline|linebreak|centering|maketitle|hfill|vfill|indent|hline|par)"
@@ -78,14 +79,14 @@ _CONSTRUCTS: dict[str, tuple[str, str]] = {
     "env": ("latex", rf"\\(?:begin|end)\{{{_TEXT_ENV}\}}(?:\[[^\]\n]*\])?"),
     "litem": ("latex", r"\\item\b(?:\[[^\]\n]*\])?[ \t]*"),
     "section": ("latex", rf"\\{_SECTION}{_BRACES}"),
-    "style": ("latex", rf"\\{_STYLE}{_BRACES}|\{{\\(?:bf|it|em|tt|sc|rm|large|Large|small)\b[^{{}}]*\}}"),
+    "style": ("latex", rf"\\{_STYLE}{_BRACES}|{_SWITCH}[^{{}}]*\}}"),
     "space": ("latex", rf"\\{_SPACE}\{{[^{{}}\n]*\}}|\\{_BARE}\b"),
     "note": ("latex", rf"\\{_NOTE}{_BRACES}"),
     "refer": ("latex", rf"~?\\{_REFER}(?:\[[^\]\n]*\])?\{{[^{{}}\n]*\}}"),
 }
 _SCAN = re.compile("|".join(f"(?P<{n}>{p})" for n, (_, p) in _CONSTRUCTS.items()), re.S | re.M)
 #: What a field must hold for any construct to begin.
-MAY = re.compile(rf"[<&`*_~]|\[\[|\{{\{{|\{{\||''|==|\]\(|^#|^[ \t]*[>|+\-]|\\(?:begin|end|item|{_SECTION}|{_STYLE}|{_SPACE}|{_BARE}|{_NOTE}|{_REFER})(?![a-zA-Z])|\{{\\(?:bf|it|em|tt)\b", re.M)
+MAY = re.compile(rf"[<&`*_~]|\[\[|\{{\{{|\{{\||''|==|\]\(|^#|^[ \t]*[>|+\-]|\\(?:begin|end|item|{_SECTION}|{_STYLE}|{_SPACE}|{_BARE}|{_NOTE}|{_REFER})(?![a-zA-Z])|{_SWITCH}", re.M)
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _DROPPED = {"comment", "image", "template", "refer"}  # and links to files and categories
 

@@ -222,6 +222,12 @@ def test_prefix_depth_meets_the_recall():
 
 # ---- 6 ----
 
+
+@pytest.mark.parametrize("switch", ["bf", "it", "em", "tt", "sc", "rm", "large", "Large", "small"])
+def test_a_style_switch_alone_is_parsed(switch):
+    assert p6.kinds(f"some {{\\{switch} marked}} words here", p6.model()) == {"latex"}
+
+
 MARKUP = [
     ("Find <b>x</b> now.", {"html"}), ("One<br/>two.<BR>", {"html"}), ("a &nbsp;b", {"html"}), ("<!-- row --> text", {"html"}), ("Assume 2 < n and u > 50.", set()), ("Use a*b*c = 294 for R&D lot #59.", set()),
     ("## Series\n\nText here.", {"markdown"}), ("- first item\n- second item", {"markdown"}), ("some **bold** word", {"markdown"}), ("![plot](img/a.png)\nText", {"markdown"}), ("see [the page](https://a.example/b)", {"markdown"}), ("text\n\n```python\nprint(1)\n```", {"markdown"}), ("> quoted words here\n> and more words", {"markdown"}), ("| given | value |\n|---|---|\n| x | 4 |\n\nText", {"markdown"}), ("this ~~the~~ word", {"markdown"}),
