@@ -122,6 +122,12 @@ def test_components_of_chains_and_stars(spark):
     assert dedup.components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_components_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([(f"c{i:03d}", f"c{i + 1:03d}") for i in range(40)], "a string, b string")
+    with pytest.raises(RuntimeError):
+        dedup.components(edges, rounds=2)
+
+
 def test_fuzzy_dedup_keeps_passive_rows(spark):
     q = "Compute the derivative of x squared at the point three."
     df = records(spark, [("a", q, "", "", "d"), ("b", q + "!", "", "", "d"), ("c", q, "", "drop", "d"), ("d", "something else altogether", "", "", "d")])
