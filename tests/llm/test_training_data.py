@@ -220,6 +220,11 @@ def test_prefix_depth_meets_the_recall():
     assert 1 - (1 - 0.8**d) ** p5.TREES >= p5.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** p5.TREES
 
 
+@pytest.mark.parametrize("text", ["I cannot answer.", "The question asks for " + "the area of a large field " * 12 + "by the river. I cannot answer this question.", "I cannot answer this question. " + "It is not clear what is meant by it. " * 40])
+def test_refusals_of_any_length(text, models):
+    assert p4.is_refusal(text) and p4.defect(Q, text, *models, p6.model()) == "refusal"
+
+
 # ---- 6 ----
 
 
