@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +15,14 @@ _SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can read.
 
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset (local tests) a
-    temporary folder of this machine is made and remembered in the session.
+    It is the session's ``spark.checkpoint.dir``. Only where that is unset and all runs in one
+    process (local tests) a temporary folder of this machine is made and remembered in the session;
+    on a cluster, whose executors couldn't read it, that is an error.
     """
     got = spark.conf.get(_SETTING, None)
     if not got:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"{_SETTING} has to name a folder that all executors share")
         got = "file://" + tempfile.mkdtemp(prefix="siltworks-")
         spark.conf.set(_SETTING, got)
     return got.rstrip("/")
@@ -36,11 +41,51 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of the shared folder (used for rounds that nothing reads any more)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _at(spark, path)
+    fs.delete(p, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` wrote, once nothing reads them any more."""
+    for t in tables:
+        shared = shared_dir(t.sparkSession)
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            if folder.removeprefix("file://").removeprefix("file:").startswith(shared.removeprefix("file://").removeprefix("file:")):
+                remove(t.sparkSession, folder)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _at(spark, path)
+    return fs.exists(p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written beside and put in place in one step."""
+    p, fs = _at(spark, path)
+    beside, _ = _at(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex[:12]}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(beside, p)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the plans made inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
