@@ -203,8 +203,9 @@ def test_a_match_in_an_earlier_batch_is_found_where_all_slots_are_hot_in_the_bas
             t[i] = r.choice("qrstuv")
         if not any(p5.similar("".join(t), x) for x in (first, second)):
             base.add("".join(t))
-    known = Counter(p5.slots(sorted(base), p5.depth_for())[0].ravel().tolist())
-    assert p5.similar(first, second) and all(known[k] > 2 for k in p5.slots([first, second], p5.depth_for())[0].ravel().tolist())
+    wide = lambda texts: [(t, int(k) >> 8 * (p5.DEPTH - p5.WIDEST)) for row in p5.keys_of(texts)[0] for t, k in enumerate(row)]
+    known = Counter(wide(sorted(base)))
+    assert p5.similar(first, second) and all(known[k] > 2 for k in wide([first, second]))
     incoming = spark.createDataFrame([("a", first, 1), ("b", second, 2), ("c", words(r, 12), 2)], "uid string, question string, batch_no int")
     canonical = spark.createDataFrame([(t,) for t in base], "question string")
     assert {x.uid for x in p5.repeats(canonical, incoming, hot=2).collect()} == {"b"}
@@ -215,9 +216,51 @@ def test_repeats_of_empty_tables(spark):
     assert p5.found(c, i).count() == 0 and p5.found(c, i.limit(0)).count() == 0
 
 
-def test_prefix_depth_meets_the_recall():
-    d = p5.depth_for()
-    assert 1 - (1 - 0.8**d) ** p5.TREES >= p5.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** p5.TREES
+def test_a_cluster_born_in_the_first_batch(spark):
+    r = random.Random(11)
+    seed = words(r, 12)
+    near = sorted({seed[:i] + c + seed[i + 1 :] for i in range(0, 60, 2) for c in "qr"})
+    incoming = [(f"a{i}", t, 1) for i, t in enumerate(near[:40])] + [(f"b{i}", t, 2) for i, t in enumerate(near[40:])] + [("c", words(r, 12), 2)]
+    got = {x.uid for x in p5.repeats(spark.createDataFrame([(words(r, 12),)], "question string"), spark.createDataFrame(incoming, "uid string, question string, batch_no int"), hot=2).collect()}
+    assert got == {u for u, _, _ in incoming if u.startswith("b")}
+
+
+def test_a_later_session_opens_the_forest_and_reads_only_what_a_batch_needs(spark, tmp_path):
+    r = random.Random(12)
+    base = [words(r, 10) for _ in range(400)]
+    path = f"file://{tmp_path}/forest"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "96")
+    try:
+        p5.HashForest(spark, path).build(spark.createDataFrame([(t,) for t in base], "question string"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    run = p5.HashForest.open(spark, path).runs[0]
+    assert run.keys.select(F.input_file_name(), "block").distinct().count() == run.keys.select("block").distinct().count() > 48  # a block is a file
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "forest" / run.name).rglob("*.parquet")}
+    batch = lambda *texts: spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text").alias("tid"), "text", F.lit(1).cast("long").alias("since"))
+    again = p5.HashForest.open(spark, path)
+    assert {x.text for x in again.accept(batch(base[7][:-1] + "z", "quite another text of several words")).collect()} == {base[7][:-1] + "z"}
+    assert all(n <= 48 + 2 < of for n, of in again.blocks_read if of == run.blocks) and again.blocks_read
+    assert files == {f: f.stat().st_mtime_ns for f in (tmp_path / "forest" / run.name).rglob("*.parquet")}
+    last = p5.HashForest.open(spark, path)
+    assert {x.text for x in last.accept(batch("quite another text of several wordz")).collect()} == {"quite another text of several wordz"}
+    for k in range(p5.RUNS):
+        last.accept(batch(f"text of the batch with number {k} which is new " + words(r, 6)))
+    assert len(last.runs) <= p5.RUNS and {x.text for x in last.accept(batch(base[3], "quite another text of several word")).collect()} == {base[3], "quite another text of several word"}
+    last.drop()
+
+
+def test_the_measured_recall_widens_prefixes(spark):
+    r = random.Random(13)
+    base = [words(r, 12) for _ in range(60)]
+    edit = lambda t: "".join(r.choice("qrstuv") if r.random() < 0.025 else c for c in t)
+    f = p5.HashForest(spark, recall=0.999999).build(spark.createDataFrame([(t,) for t in base], "question string"))
+    batch = spark.createDataFrame([(edit(t),) for t in base], "text string").select(F.xxhash64("text").alias("tid"), "text", F.lit(1).cast("long").alias("since"))
+    f.accept(batch)
+    assert [d for d, _ in f.met_at] == [8, 7, 6] and [x for _, x in f.met_at] == sorted(x for _, x in f.met_at)
+    f.drop()
+    assert p5.chance(0.8, p5.WIDEST) > 0.999 and p5.chance(0.8, p5.DEPTH) < 0.99
 
 
 @pytest.mark.parametrize("text", ["I cannot answer.", "The question asks for " + "the area of a large field " * 12 + "by the river. I cannot answer this question.", "I cannot answer this question. " + "It is not clear what is meant by it. " * 40])
