@@ -57,7 +57,7 @@ TREES = 24
 DEPTH = 8
 WIDEST = 6
 SIMILARITY = 0.8
-RECALL = 0.9995
+RECALL = 0.9999
 HOT = 2_000
 RUNS = 6
 GRAM = 3

@@ -2,9 +2,10 @@
 
 Method: temperature mixing. With p the sources' shares of all tokens and t the target shares, the
 weights are q(e) ~ p^(1-e) * t^e: exponent 0 leaves the sources as they are, 1 gives the targets.
-``p8_found`` are the sources that break their repetition limit at exponent 1: they can't reach
-their target share. They are pinned at what they can give; for the others the exponent is bisected
-to the largest one at which none has to repeat a document more than ``max_repeats`` times
+For each source the exponent is bisected to the largest one that it can follow without repeating a
+document more than ``max_repeats`` times (``reach``). ``p8_found`` are the sources that can't follow
+to 1, that is, to their target share. They are pinned at what they can give; for the others the
+exponent is bisected again, to the largest one at which none of them breaks its limit
 (``limited``). Likewise ``temper`` bisects the exponent of q ~ p^e to a target entropy.
 
 The weights are realised as budgeted block permutations: each source's documents are put in an
@@ -83,14 +84,41 @@ def temper(shares: list[float], entropy: float, steps: int = STEPS) -> tuple[flo
     return hi, weights(hi)
 
 
-def limited(have: list[int], share: list[float], repeats: list[int], steps: int = STEPS) -> tuple[float, list[float], list[bool]]:
-    """(exponent, weights, short): the bisected exponent and weights, and who breaks the limit at exponent 1.
+def reach(have: list[int], share: list[float], repeats: list[int], steps: int = STEPS) -> list[float]:
+    """For each source the exponent to which it can follow its target within its limit: 1, or what bisection finds below."""
+    total = sum(have)
+    p = _normal([float(x) for x in have])
+    logs = [(math.log(a), math.log(b)) if a > 0 and b > 0 else None for a, b in zip(p, share, strict=True)]
+
+    def follows(i: int, e: float) -> bool:
+        if e == 1.0:
+            return have[i] * repeats[i] >= share[i] * total
+        if logs[i] is None:
+            return have[i] > 0 or share[i] == 0
+        all_of = sum(math.exp((1 - e) * x[0] + e * x[1]) for x in logs if x)
+        return math.exp((1 - e) * logs[i][0] + e * logs[i][1]) <= repeats[i] * p[i] * all_of + 1e-15
+
+    out = []
+    for i in range(len(have)):
+        if follows(i, 1.0):
+            out.append(1.0)
+            continue
+        lo, hi = 0.0, 1.0 if have[i] else 0.0
+        for _ in range(steps):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if follows(i, mid) else (lo, mid)
+        out.append(min(lo, math.nextafter(1.0, 0.0)))
+    return out
+
+
+def limited(have: list[int], share: list[float], repeats: list[int], steps: int = STEPS) -> tuple[float, list[float], list[float]]:
+    """(exponent, weights, reach): the bisected exponent and weights of the mix, and how far each source can follow.
 
     The budget is the sum of ``have``; weights are in the order of the arguments.
     """
-    total = sum(have)
+    far = reach(have, share, repeats, steps)
+    short = [e < 1.0 for e in far]
     p, t = _normal([float(x) for x in have]), _normal(share)
-    short = [h * r < s * total for h, r, s in zip(have, repeats, share, strict=True)]
     cap = [r * x for r, x in zip(repeats, p, strict=True)]
     left = 1.0 - sum(c for c, x in zip(cap, short, strict=True) if x)
 
@@ -108,7 +136,7 @@ def limited(have: list[int], share: list[float], repeats: list[int], steps: int
         for _ in range(steps):
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if fits(weights(mid)) else (lo, mid)
-    return lo, weights(lo), short
+    return lo, weights(lo), far
 
 
 def _state(spark, sizes: DataFrame, targets: DataFrame):
@@ -121,8 +149,8 @@ def _state(spark, sizes: DataFrame, targets: DataFrame):
 def found(docs: DataFrame, targets: DataFrame, folder: str = tokens.VOCABULARIES) -> DataFrame:
     """``(source)``: sources that can't reach their target share within their repetition limit."""
     sizes = sized(docs, targets, folder)
-    rows, _, (_, _, short) = _state(docs.sparkSession, sizes, targets)
-    return docs.sparkSession.createDataFrame([(s,) for (s, _, _), x in zip(rows, short, strict=True) if x], "source string")
+    rows, _, (_, _, far) = _state(docs.sparkSession, sizes, targets)
+    return docs.sparkSession.createDataFrame([(s,) for (s, _, _), e in zip(rows, far, strict=True) if e < 1.0], "source string")
 
 
 def plan(docs: DataFrame, targets: DataFrame, seed: int = 42, folder: str = tokens.VOCABULARIES, sizes: DataFrame | None = None) -> DataFrame:
@@ -148,24 +176,41 @@ def plan(docs: DataFrame, targets: DataFrame, seed: int = 42, folder: str = toke
 
 
 def report(docs: DataFrame, targets: DataFrame, folder: str = tokens.VOCABULARIES) -> DataFrame:
-    """One row a source: tokens it has, target and mixed weight, tokens used, most repeats, actual share."""
+    """One row a source: tokens it has, target and mixed weight, how far it can follow its target, tokens used, most repeats, actual share."""
     spark = docs.sparkSession
     sizes = sized(docs, targets, folder)
-    rows, counts, (exponent, weights, short) = _state(spark, sizes, targets)
+    rows, counts, (exponent, weights, far) = _state(spark, sizes, targets)
     used = plan(docs, targets, folder=folder, sizes=sizes).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("used_tokens"), F.max("times").alias("most_repeats"), F.sum("times").alias("used_documents"))
-    base = spark.createDataFrame([(s, h, t, r, q, exponent, x) for (s, t, r), h, q, x in zip(rows, counts, weights, short, strict=True)], "source string, tokens long, target_share double, max_repeats int, weight double, exponent double, short boolean")
+    base = spark.createDataFrame([(s, h, t, r, q, exponent, x, x < 1.0) for (s, t, r), h, q, x in zip(rows, counts, weights, far, strict=True)], "source string, tokens long, target_share double, max_repeats int, weight double, exponent double, reach double, short boolean")
     whole = Window.partitionBy()  # a row a source
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return base.join(used, "source", "left").select(*base.columns, zero("used_tokens"), zero("used_documents"), zero("most_repeats")).withColumn("actual_share", F.col("used_tokens") / F.greatest(F.sum("used_tokens").over(whole), F.lit(1)))
 
 
+def budgets(docs: DataFrame, targets: DataFrame, folder: str = tokens.VOCABULARIES) -> DataFrame:
+    """``(source, target_share, max_repeats, short, within_budget, within_repeats)``: whether the plan keeps
+    each source's budget to within a document, never over it, and its repetition limit."""
+    spark = docs.sparkSession
+    sizes = sized(docs, targets, folder)
+    rows, counts, (_, weights, far) = _state(spark, sizes, targets)
+    total = sum(counts)
+    base = spark.createDataFrame([(s, t, r, e < 1.0, int(q * total)) for (s, t, r), q, e in zip(rows, weights, far, strict=True)], "source string, target_share double, max_repeats int, short boolean, budget long")
+    used = plan(docs, targets, folder=folder, sizes=sizes).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("used"), F.max("times").alias("most"), F.max("n_tokens").alias("largest"))
+    rest = F.col("budget") - F.coalesce("used", F.lit(0))
+    return base.join(used, "source", "left").select("source", "target_share", "max_repeats", "short", ((rest >= 0) & (rest <= F.coalesce("largest", F.lit(0)))).alias("within_budget"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"))
+
+
 def _of(f):
     return lambda spark, d: f(runtime.table(spark, d, "documents"), runtime.table(spark, d, "mix_targets"))
 
 
-QUERIES = {"p8_found": _of(found), "p8_mix": _of(report), "p8_plan": _of(plan)}
+QUERIES = {"p8_found": _of(found), "p8_mix": _of(report), "p8_plan": _of(plan), "p8_budgets": _of(budgets)}
 #: Sizes in characters: any usual tokenizer gives the same sources.
-_SQL = """WITH t AS (SELECT source, max(target_share) AS s, max(coalesce(max_repeats, 1)) AS r FROM mix_targets WHERE source IS NOT NULL AND target_share IS NOT NULL GROUP BY 1),
+_SIZES = """WITH t AS (SELECT source, max(target_share) AS s, max(coalesce(max_repeats, 1)) AS r FROM mix_targets WHERE source IS NOT NULL AND target_share IS NOT NULL GROUP BY 1),
 d AS (SELECT t.source, coalesce(sum(length(x.text)), 0) AS n FROM t LEFT JOIN (SELECT DISTINCT doc_id, source, text FROM documents WHERE doc_id IS NOT NULL) x ON x.source = t.source GROUP BY 1)
-SELECT source FROM d JOIN t USING (source) WHERE n * r < s * (SELECT sum(n) FROM d)"""
-ORACLES = {"p8_found": _SQL}
+"""
+_SHORT = "n * r < s * (SELECT sum(n) FROM d)"
+ORACLES = {
+    "p8_found": f"{_SIZES} SELECT source FROM d JOIN t USING (source) WHERE {_SHORT}",
+    "p8_budgets": f"{_SIZES} SELECT source, s AS target_share, r AS max_repeats, {_SHORT} AS short, true AS within_budget, true AS within_repeats FROM d JOIN t USING (source)",
+}

@@ -124,8 +124,17 @@ def test_truth_discovery_trusts_who_agrees(spark):
     assert t["x"] > 0.9 > 0.2 > t["w"] and "n" not in t
 
 
-def test_order_is_kept():
-    assert p3.ordered([0.2, 0.9, 0.5], 1e-6) == sorted(p3.ordered([0.2, 0.9, 0.5], 1e-6), reverse=True)
+def test_reliabilities_that_do_not_converge_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(p3, "ROUNDS", 1)
+    claims = [("g", "f", "x", "a"), ("g", "f", "y", "b"), ("g", "f", "x", "c"), ("h", "f", "y", "a")]
+    with pytest.raises(RuntimeError):
+        p3.discover(spark.createDataFrame(claims, "group_id string, field string, value string, source string"))
+
+
+def test_votes_choose_the_highest_support(spark):
+    claims = spark.createDataFrame([("g", "f", "x", "a", 0), ("g", "f", "x", "b", 0), ("g", "f", "y", "c", 0), ("h", "f", "z", "a", 2), ("h", "f", "y", "a", 1), ("h", "f", None, "c", 0)], "group_id string, field string, value string, source string, age int")
+    got = {(r.group_id, r.value, r.support) for r in p3.chosen(p3.votes(claims, {"a": 0.3, "b": 0.3, "c": 0.5}, "string")).collect()}
+    assert got == {("g", "x", 0.6), ("h", "y", 0.3)}
 
 
 # ---- 4 ----
@@ -225,7 +234,8 @@ def test_a_cluster_born_in_the_first_batch(spark):
     assert got == {u for u, _, _ in incoming if u.startswith("b")}
 
 
-def test_a_later_session_opens_the_forest_and_reads_only_what_a_batch_needs(spark, tmp_path):
+def test_a_later_session_opens_the_forest_and_reads_only_what_a_batch_needs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(p5, "RUNS", 2)
     r = random.Random(12)
     base = [words(r, 10) for _ in range(400)]
     path = f"file://{tmp_path}/forest"
@@ -367,6 +377,7 @@ def test_mixing(spark):
     assert m["none"].used_tokens == 0 and m["small"].most_repeats == 3 and abs(sum(r.actual_share for r in m.values()) - 1) < 1e-9
     assert rows(p8.found(d.limit(0), t)) == {("big",), ("small",), ("none",)} or p8.found(d.limit(0), t).count() in (0, 3)
     assert p8.found(d, t.limit(0)).count() == 0
+    assert {(r.short, r.within_budget, r.within_repeats) for r in p8.budgets(d, t).collect()} == {(False, True, True), (True, True, True)}
 
 
 def test_budget_ends_inside_a_block(spark, monkeypatch):
@@ -377,6 +388,15 @@ def test_budget_ends_inside_a_block(spark, monkeypatch):
     assert all(abs(m[s].actual_share - x) < 0.01 for s, x in (("a", 0.6), ("b", 0.3), ("c", 0.1)))
 
 
+def test_how_far_sources_can_follow():
+    far = p8.reach([900, 100, 0, 500], [0.3, 0.4, 0.1, 0.2], [1, 2, 5, 1])
+    assert far[0] == far[3] == 1.0 and 0 < far[1] < 1 and far[2] == 0.0
+    p, t = [0.6, 1 / 15, 0.0, 1 / 3], [0.3, 0.4, 0.1, 0.2]
+    w = [a ** (1 - far[1]) * b ** far[1] if a else 0.0 for a, b in zip(p, t, strict=True)]
+    assert abs(w[1] / sum(w) - 2 / 15) < 1e-6
+    assert p8.reach([10], [1.0], [1]) == [1.0] and p8.reach([], [], []) == []
+
+
 def test_temperature_meets_the_entropy():
     e, w = p8.temper([0.7, 0.2, 0.1, 0.0], 1.4)
     assert abs(-sum(x * np.log2(x) for x in w if x) - 1.4) < 1e-6 and e < 1 and w[3] == 0
