@@ -169,6 +169,21 @@ def test_defects(models, answer, want):
     assert p4.defect(Q, answer, *models, p6.model()) == want
 
 
+@pytest.mark.parametrize(("answer", "want"), [
+    ("I'm sorry, I cannot help with problem 3, 4 and 5 here.", "refusal"), ("The text asks about a grid and its rows, with many columns, as was described by the author of the book at very great length indeed: I cannot answer.", "refusal"), ("Ich bin nicht in der Lage, das zu beantworten.", "refusal"), ("We cannot take 3 from 2, so 5 of the 6 and then 7 remain.", None),
+    ("The sum of the two sides is equal to th...", "truncated_answer"), ("The sum of the two sides is eq…", "truncated_answer"), ("1, 2, 3, ...", None), ("He has it", "truncated_answer"), ("\\begin{align}\\end{align}\\begin{gather}\\end{gather}\\begin{cases}\\end{cases}", "empty_answer"),
+    (f"This is the text of the question that was put to me some time ago: {Q}", "question_copy"), (f"Since x = 4 we have: {Q}", None),
+])
+def test_no_length_decides(models, answer, want):
+    assert p4.defect(Q, answer, *models, p6.model()) == want
+
+
+def test_a_rare_language_is_kept_and_a_wrong_label_is_none(spark):
+    docs = [(i, "en", " ".join(TRAIN["en"]) + f" Part {i}.") for i in range(400)] + [(1000, "fr", " ".join(TRAIN["fr"])), (1001, "xx", "Now we count the rows and the columns. It follows that only one of them holds.")]
+    languages, _ = p4.train(spark.createDataFrame(docs, "doc_id long, lang string, text string"))
+    assert languages.names == ["en", "fr"]
+
+
 def test_defects_over_a_table(spark, models):
     docs = spark.createDataFrame([(1, None, None)], "doc_id long, lang string, text string")
     df = spark.createDataFrame([("a", Q, None), ("a", Q, None), ("b", None, "12"), ("c", None, None), (None, Q, ""), ("d", Q, "word " * 30_000 + "end."), ("e", "", "La somme.")], "record_id string, question string, raw_dataset_answer string")
