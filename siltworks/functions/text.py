@@ -251,3 +251,45 @@ def difficulty_score(c: Column) -> Column:
 def l2_normalize(v: Column) -> Column:
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     return F.transform(v, lambda x: x.cast("double") / F.greatest(norm, F.lit(1e-12)))
+
+
+# ---- equality of answers ----
+
+_NUMBER = r"[-+]?(?:\d+(?:\.\d*)?|\.\d+)"
+
+
+def plain_answer(c: Column) -> Column:
+    """An answer without dollars, boxes, spacing, a leading ``x =`` and a last full stop; fractions as ``a/b``."""
+    c = F.lower(strip(or_blank(c)))
+    c = F.regexp_replace(c, r"\$|\\(?:left|right|displaystyle)(?![a-z])|\\[,;:! ]", "")
+    c = F.regexp_replace(c, r"\\(?:boxed|text|mathrm)\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}", "$1")
+    c = F.regexp_replace(c, r"\\[dt]?frac\{([^{}]*)\}\{([^{}]*)\}", "$1/$2")
+    c = F.regexp_replace(c, f"[{SPACE}]+", "")
+    c = F.regexp_replace(c, r"^[a-z]=|\.$", "")
+    return F.when(c.rlike(r"^[-+]?\d{1,3}(?:,\d{3})+(?:\.\d+)?$"), F.replace(c, F.lit(","), F.lit(""))).otherwise(c)
+
+
+def canonical_value(part: Column) -> Column:
+    """A number, fraction or percentage as its value to 10 places; anything else as it is."""
+    number = part.rlike(f"^{_NUMBER}$")
+    fraction = part.rlike(f"^{_NUMBER}/{_NUMBER}$")
+    percent = part.rlike(rf"^{_NUMBER}\\?%$")
+    two = F.split(part, "/")
+    low = F.get(two, F.lit(1)).try_cast("double")
+    value = F.when(number, part.try_cast("double")).when(fraction & (low != 0), F.get(two, F.lit(0)).try_cast("double") / low).when(percent, F.regexp_replace(part, r"\\?%", "").try_cast("double") / 100)
+    return F.coalesce((F.round(value, 10) + F.lit(0.0)).cast("string"), part)
+
+
+def same_value(a: Column, b: Column) -> Column:
+    """Whether two answers are equal: as text, as numbers (1/2 is 0.5), or part by part (tuples, intervals, sets)."""
+
+    def canonical(c: Column) -> Column:
+        c = plain_answer(c)
+        inner = F.regexp_extract(c, r"^\\?[\[({](.+)\\?[\])}]$", 1)
+        several = c.rlike(r"^\\?[\[({].+,.+[\])}]$")
+        parts = F.transform(F.split(F.regexp_replace(inner, r"\\$", ""), ","), canonical_value)
+        is_set = c.rlike(r"^\\?\{")
+        kind = F.regexp_replace(F.concat(F.regexp_extract(c, r"^\\?(.)", 1), F.substring(c, -1, 1)), r"\\", "")
+        return F.when(several, F.concat(kind, F.array_join(F.when(is_set, F.array_sort(parts)).otherwise(parts), ","))).otherwise(canonical_value(c))
+
+    return canonical(a) == canonical(b)

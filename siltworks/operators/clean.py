@@ -378,11 +378,16 @@ def cot_cleaning(df: DataFrame) -> DataFrame:
 
 @processor("rule_correctness")
 def rule_correctness(df: DataFrame, equivalent: Callable[[Column, Column], Column] | None = None, enforce_keep: bool = False) -> DataFrame:
-    """Confirmed answer (or else the raw one) against the raw one; only ``enforce_keep`` removes rows."""
-    same = equivalent or (lambda a, b: text.normalize_answer(a) == text.normalize_answer(b))
-    ok = same(F.coalesce(F.nullif(col("confirmed_answer"), F.lit("")), col("raw_dataset_answer")), col("raw_dataset_answer"))
-    out = with_event(df, event("clean", "rule_correctness", F.when(ok, "kept").otherwise("dropped"), F.when(ok, "").otherwise("rule_mismatch")))
-    return out.where(ok) if enforce_keep else out
+    """Confirmed answer (or else the raw one) against the raw one; only ``enforce_keep`` removes rows.
+
+    Answers are compared by ``text.same_value`` (texts, numbers, fractions, tuples) unless another
+    ``equivalent`` is given.
+    """
+    same = equivalent or text.same_value
+    df = df.withColumn("_same", same(F.coalesce(F.nullif(col("confirmed_answer"), F.lit("")), col("raw_dataset_answer")), col("raw_dataset_answer")))
+    ok = F.col("_same")
+    out = with_event(df, event("clean", "rule_based_correctness", F.when(ok, "kept").otherwise("dropped"), F.when(ok, "").otherwise("rule_verify_failed")))
+    return (out.where(ok) if enforce_keep else out).drop("_same")
 
 
 def _texts(df: DataFrame) -> Column:

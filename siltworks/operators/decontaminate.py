@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siltworks import runtime
 from siltworks.functions import text
 from siltworks.operators.clean import col, event, processor, with_event
-from siltworks.operators.inference import Client, ask, embed
+from siltworks.operators.inference import Client, ask, embed, fill, judge_template, parsing
 
 #: Queries go to the executors in blocks of so many: 5,000 vectors of 1,024 floats are 20 MB.
 QUERIES = 5_000
@@ -83,15 +83,17 @@ def parse_decision(reply: str | None) -> tuple[str, str]:
         return "no", "api_error"
 
 
-def judge(pairs: DataFrame, client: Client) -> DataFrame:
-    """Adds ``llm_decision``, ``llm_reason``, ``llm_error`` to pairs with both questions."""
+# The judge's default prompt and the form of its reply.
+JUDGE_PROMPT = {"template": "Is the training question the benchmark question?\nBenchmark: {benchmark_question}\nTraining: {training_question}", "output_format": 'Reply {"decision": "yes" or "no", "reason": ...}.'}
 
-    @F.udf("struct<decision:string,reason:string>")
-    def parsed(reply: str | None):
-        return parse_decision(reply)
 
-    prompt = F.concat_ws("\n", F.lit('Is the training question the benchmark question? Reply {"decision": "yes" or "no", "reason": ...}.'), F.concat(F.lit("Benchmark: "), col("benchmark_question")), F.concat(F.lit("Training: "), col("question")))
-    got = ask(pairs, prompt, client).withColumn("_d", parsed("reply"))
+def judge(pairs: DataFrame, client: Client, prompt: dict | None = None, cache_dir: str = "") -> DataFrame:
+    """Adds ``llm_decision``, ``llm_reason``, ``llm_error`` to pairs with both questions; ``prompt`` is a prompt file's mapping."""
+    parsed = parsing(parse_decision, "decision string, reason string")
+    template, system = judge_template(prompt or JUDGE_PROMPT)
+    values = {"benchmark_question": col("benchmark_question"), "training_question": col("question"), "benchmark_source": col("benchmark_source") if "benchmark_source" in pairs.columns else F.lit(""), "benchmark_id": col("query_id") if "query_id" in pairs.columns else F.lit("")}
+    asked = F.concat(F.lit(f"{system}\n\n" if system else ""), fill(template, doubled=True, **values))
+    got = ask(pairs, asked, client, cache_dir).withColumn("_d", parsed("reply"))
     return got.withColumns({"llm_decision": F.col("_d.decision"), "llm_reason": F.col("_d.reason"), "llm_error": F.coalesce("error", F.lit(""))}).drop("_d", "reply", "error")
 
 
@@ -137,14 +139,44 @@ def phase_counts(records: DataFrame, benchmarks: DataFrame, target_phases: tuple
     return rows.unionByName(sets).select("side", "name", "rows")
 
 
-def embedded(df: DataFrame, record_id: str, embedder) -> DataFrame:
-    """``(id, embedding)`` of unit length, written once; empty texts have vectors too, if the embedder gives them."""
-    out = embed(df.select(col(record_id).alias("id"), col("question").alias("question")), "question", embedder)
-    return runtime.materialize(out.select("id", text.l2_normalize(F.col("embedding")).cast("array<float>").alias("embedding")), "embeddings")
+def embedded(df: DataFrame, record_id: str, embedder, path: str = "", model: str = "") -> DataFrame:
+    """``(id, embedding)`` of unit length; empty texts have vectors too, if the embedder gives them.
+
+    With a path, vectors are kept there under id, model and the hash of the text: a later run embeds
+    only what isn't there. Without, they are written once for this run.
+    """
+    texts = df.select(col(record_id).alias("id"), col("question").alias("question"))
+    unit = lambda t: embed(t, "question", embedder).withColumn("embedding", text.l2_normalize(F.col("embedding")).cast("array<float>"))
+    if not path:
+        return runtime.materialize(unit(texts).select("id", "embedding"), "embeddings")
+    spark = df.sparkSession
+    texts = runtime.materialize(texts.withColumns({"text_key": F.sha2("question", 256), "model": F.lit(model)}), "embed-texts")
+    read = lambda: spark.read.schema("id string, text_key string, model string, embedding array<float>").parquet(path).dropDuplicates(["id", "text_key", "model"])
+    keys = ["id", "text_key", "model"]
+    todo = texts.dropDuplicates(keys)
+    todo = todo.join(read().select(keys), keys, "left_anti") if runtime.exists(spark, path) else todo
+    unit(todo).select(*keys, "embedding").write.mode("append").parquet(path)
+    return texts.select(keys).join(read(), keys).select("id", "embedding")
+
+
+def _judged(df: DataFrame, bench: DataFrame, vectors: DataFrame, queries: DataFrame, client: Client, top_k: int, threshold: float | None, target_phases: tuple[str, ...], judge_all: bool, prompt: dict | None, cache_dir: str) -> DataFrame:
+    """``(record_id, benchmark_id, benchmark_source, similarity, llm_decision)`` of each benchmark's nearest target rows, written once."""
+    near = knn(queries, vectors, top_k)
+    asked = bench.select(F.col("uid").alias("query_id"), F.col("question").alias("benchmark_question"), F.col("dataset_name").alias("benchmark_source")).dropDuplicates(["query_id"])
+    rows = df.where(col("training_phase").isin(*target_phases)).groupBy(col("record_id").alias("id")).agg(F.min(col("question")).alias("question"))
+    pairs = runtime.materialize(near.join(asked, "query_id").join(rows, "id"), "candidates")
+    due = F.lit(True) if judge_all or threshold is None else F.col("similarity") >= threshold
+    columns = [F.col("id").alias("record_id"), F.col("query_id").alias("benchmark_id"), "benchmark_source", "similarity", "llm_decision"]
+    judged = judge(pairs.where(due), client, prompt, cache_dir).select(*columns).unionByName(pairs.where(~due).withColumn("llm_decision", F.lit("no")).select(*columns))
+    return runtime.materialize(judged, "judged")
+
+
+def _text_evidence(df: DataFrame) -> DataFrame:
+    return df if dict(df.dtypes)["decontamination"] == "string" else df.withColumn("decontamination", F.to_json("decontamination"))
 
 
 @processor("decontamination")
-def decontamination(df: DataFrame, benchmarks: DataFrame | None = None, embedder=None, client: Client | None = None, top_k: int = 10, similarity_threshold: float | None = None, target_phases: tuple[str, ...] = ("", "midtrain"), judge_all: bool = False) -> DataFrame:
+def decontamination(df: DataFrame, benchmarks: DataFrame | None = None, embedder=None, client: Client | None = None, top_k: int = 10, similarity_threshold: float | None = None, target_phases: tuple[str, ...] = ("", "midtrain"), judge_all: bool = False, prompt: dict | None = None, cache_dir: str = "") -> DataFrame:
     """Each benchmark question's nearest target rows become their evidence; those the judge agrees on are dropped.
 
     Only candidates at or over the threshold are judged, the others stand as 'no'; ``judge_all`` judges
@@ -152,21 +184,64 @@ def decontamination(df: DataFrame, benchmarks: DataFrame | None = None, embedder
     """
     if benchmarks is None or embedder is None or client is None:
         return df
-    if dict(df.dtypes)["decontamination"] != "string":
-        df = df.withColumn("decontamination", F.to_json("decontamination"))
+    df = _text_evidence(df)
     targets = df.where(col("training_phase").isin(*target_phases))
     bench = runtime.materialize(load_benchmarks(benchmarks), "benchmarks")
-    near = knn(embedded(bench, "uid", embedder), embedded(targets, "record_id", embedder), top_k)
-    asked = bench.select(F.col("uid").alias("query_id"), F.col("question").alias("benchmark_question"), F.col("dataset_name").alias("benchmark_source")).dropDuplicates(["query_id"])
-    rows = targets.groupBy(col("record_id").alias("id")).agg(F.min(col("question")).alias("question"))
-    pairs = runtime.materialize(near.join(asked, "query_id").join(rows, "id"), "candidates")
-    due = F.lit(True) if judge_all or similarity_threshold is None else F.col("similarity") >= similarity_threshold
-    columns = [F.col("id").alias("record_id"), F.col("query_id").alias("benchmark_id"), "benchmark_source", "similarity", "llm_decision"]
-    judged = judge(pairs.where(due), client).select(*columns).unionByName(pairs.where(~due).withColumn("llm_decision", F.lit("no")).select(*columns))
-    return attach_evidence(df, runtime.materialize(judged, "judged"), tuple(target_phases), None if judge_all else similarity_threshold, top_k)
+    judged = _judged(df, bench, embedded(targets, "record_id", embedder), embedded(bench, "uid", embedder), client, top_k, similarity_threshold, target_phases, judge_all, prompt, cache_dir)
+    return attach_evidence(df, judged, tuple(target_phases), None if judge_all else similarity_threshold, top_k)
 
 
-@processor("decontam_search")
-def decontam_search(df: DataFrame, **config) -> DataFrame:
-    return decontamination(df, **{"target_phases": ("posttrain", "midtrain"), "top_k": 20, **config}, judge_all=True)
+# ---- the same in three steps, each of which can be run again ----
+
+
+def _need(checkpoint_dir: str) -> str:
+    if not checkpoint_dir:
+        raise ValueError("the step needs a checkpoint_dir")
+    return checkpoint_dir.rstrip("/")
 
+
+def saved_benchmarks(spark, checkpoint_dir: str) -> DataFrame:
+    """The benchmark questions that ``decontam_load`` left in the folder."""
+    path = f"{_need(checkpoint_dir)}/benchmarks"
+    if not runtime.exists(spark, path):
+        raise FileNotFoundError(f"no benchmarks at {path}: run decontam_load first")
+    return spark.read.parquet(path)
+
+
+@processor("decontam_load")
+def decontam_load(df: DataFrame, benchmarks: DataFrame | None = None, checkpoint_dir: str = "", target_phases: tuple[str, ...] = ("posttrain", "midtrain")) -> DataFrame:
+    """Writes the benchmark questions and what would be compared; the records pass."""
+    if benchmarks is None:
+        return df
+    path = _need(checkpoint_dir)
+    load_benchmarks(benchmarks).write.mode("overwrite").parquet(f"{path}/benchmarks")
+    phase_counts(df, benchmarks, target_phases).coalesce(1).write.mode("overwrite").json(f"{path}/load_meta")
+    return df
+
+
+@processor("decontam_embed")
+def decontam_embed(df: DataFrame, embedder=None, checkpoint_dir: str = "", model: str = "", target_phases: tuple[str, ...] = ("posttrain", "midtrain")) -> DataFrame:
+    """Writes the vectors of both sides; what is there already isn't embedded again. The records pass."""
+    if embedder is None:
+        return df
+    path = _need(checkpoint_dir)
+    embedded(df.where(col("training_phase").isin(*target_phases)), "record_id", embedder, f"{path}/train_embeddings", model)
+    embedded(saved_benchmarks(df.sparkSession, path), "uid", embedder, f"{path}/benchmark_embeddings", model)
+    return df
+
+
+@processor("decontam_search")
+def decontam_search(df: DataFrame, client: Client | None = None, embedder=None, benchmarks: DataFrame | None = None, checkpoint_dir: str = "", model: str = "", top_k: int = 20, similarity_threshold: float | None = None, target_phases: tuple[str, ...] = ("posttrain", "midtrain"), prompt: dict | None = None, cache_dir: str = "") -> DataFrame:
+    """Judges all nearest rows and only records the threshold. With a checkpoint_dir, benchmarks and vectors
+    come from there and drop rates are left there; without, they are made from ``benchmarks`` and ``embedder``."""
+    if client is None:
+        return df
+    if not checkpoint_dir:
+        return decontamination(df, benchmarks, embedder, client, top_k, similarity_threshold, target_phases, True, prompt, cache_dir)
+    path, spark = _need(checkpoint_dir), df.sparkSession
+    df, bench = _text_evidence(df), saved_benchmarks(df.sparkSession, path)
+    keyed = lambda side, of, id_column: of.select(col(id_column).alias("id"), F.sha2(col("question"), 256).alias("text_key"), F.lit(model).alias("model")).join(spark.read.parquet(f"{path}/{side}_embeddings").dropDuplicates(["id", "text_key", "model"]), ["id", "text_key", "model"]).select("id", "embedding")
+    targets = df.where(col("training_phase").isin(*target_phases))
+    judged = _judged(df, bench, keyed("train", targets, "record_id"), keyed("benchmark", bench, "uid"), client, top_k, similarity_threshold, target_phases, True, prompt, cache_dir or f"{path}/replies")
+    drop_rates(judged).coalesce(1).write.mode("overwrite").json(f"{path}/benchmark_drop_stats")
+    return attach_evidence(df, judged, tuple(target_phases), None, top_k)

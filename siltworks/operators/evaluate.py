@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from siltworks import schema
 from siltworks.functions import text
 from siltworks.operators.clean import col, event, processor, with_event
-from siltworks.operators.inference import Client, ask
+from siltworks.operators.inference import Client, ask, fill, parsing, question_template
 
 _ROLLOUT_KEYS = ["samples", "num_samples", "majority_answer", "majority_count", "majority_matches_gt", "pass_ratio", "model", "fallback_model", "used_fallback", "raw_dataset_answer"]
 
@@ -65,10 +65,11 @@ def build_verification(df: DataFrame, model: str = "") -> DataFrame:
 
 
 @processor("rollout_correctness")
-def rollout_correctness(df: DataFrame, client: Client | None = None, n: int = 8, target_phase: str = "", max_question_chars: int = 6000, answer_pattern: str | None = None, model: str = "") -> DataFrame:
+def rollout_correctness(df: DataFrame, client: Client | None = None, n: int = 8, target_phase: str = "", max_question_chars: int = 6000, answer_pattern: str | None = None, model: str = "", prompt: dict | None = None, cache_dir: str = "", waves: int = 1) -> DataFrame:
     """Asks for the samples that rows of the phase lack (blank: all rows), then summarises.
 
     Over-long questions and rows with enough samples are left; failed requests add no sample.
+    ``prompt`` is a prompt file's mapping; with ``cache_dir`` replies are kept there, wave by wave.
     """
     if client is None:
         return df
@@ -76,8 +77,10 @@ def rollout_correctness(df: DataFrame, client: Client | None = None, n: int = 8,
     due = (F.lit(target_phase == "") | (col("training_phase") == target_phase)) & (F.col("_have") < n) & (F.length(col("question")) <= max_question_chars)
     df = df.withColumn("_due", due)
     one = df.where("_due").select("record_id", "question", F.explode(F.sequence(F.col("_have"), F.lit(n - 1))).alias("index"))
-    prompt = F.concat(col("question"), F.lit("\n\nPut the final answer within \\boxed{}. (attempt "), F.col("index").cast("string"), F.lit(")"))
-    got = ask(one, prompt, client)
+    template, system = question_template(prompt or {"template": "{problem}\n\nPut the final answer within \\boxed{}."})
+    # the attempt makes requests for the same question different ones
+    text_of = F.concat(F.lit(f"{system}\n\n" if system else ""), fill(template, problem=col("question")), F.lit(" (attempt "), F.col("index").cast("string"), F.lit(")"))
+    got = ask(one, text_of, client, cache_dir, waves=waves)
     answer = F.coalesce(F.nullif(text.extract_boxed(F.col("reply")), F.lit("")), text.parse_answer(F.col("reply"), *((answer_pattern,) if answer_pattern else ())))
     sample = F.struct(F.col("index").cast("int").alias("index"), answer.alias("answer"), F.col("reply").alias("solution"), F.col("reply").alias("reasoning"), F.lit(True).alias("success"), F.lit("natural").alias("stop_reason"), F.lit(None).cast("map<string,int>").alias("token_count"), F.lit(None).cast("boolean").alias("judge_correct"))
     new = got.where("reply is not null").groupBy("record_id").agg(F.sort_array(F.collect_list(sample.cast(schema.SAMPLE).dropFields("token_count"))).alias("_new"))
@@ -114,7 +117,7 @@ def answer_decision(quality: Column, verdict: Column, count: Column, samples: Co
 
 
 @processor("answer_judge")
-def answer_judge(df: DataFrame, client: Client | None = None, target_phase: str = "posttrain", model: str = "", max_retries: int = 3) -> DataFrame:
+def answer_judge(df: DataFrame, client: Client | None = None, target_phase: str = "posttrain", model: str = "", max_retries: int = 3, cache_dir: str = "") -> DataFrame:
     """Rows of the phase whose majority misses the ground truth and that weren't judged yet."""
     if client is None:
         return df
@@ -124,13 +127,10 @@ def answer_judge(df: DataFrame, client: Client | None = None, target_phase: str
     answers = F.array_join(F.transform(F.coalesce("verification.samples", F.array().cast(f"array<{schema.SAMPLE}>")), lambda s: F.coalesce(s["answer"], F.lit(""))), "\n")
     prompt = F.concat_ws("\n", F.lit('Judge the reference answer against the samples. Reply {"gt_quality":..., "judgement":..., "majority_answer":..., "majority_count":...}.'), col("question"), col("raw_dataset_answer"), answers)
 
-    @F.udf("struct<quality:string,verdict:string,answer:string,count:int>")
-    def parsed(reply: str | None):
-        return parse_judgement(reply)
-
-    asked = ask(df.where("_due and _n > 0"), prompt, client, retries=max_retries).withColumn("_j", parsed("reply"))
+    parsed = parsing(parse_judgement, "quality string, verdict string, answer string, count int")
+    asked = ask(df.where("_due and _n > 0"), prompt, client, cache_dir, max_retries).withColumn("_j", parsed("reply"))
     asked = asked.withColumn("_d", answer_decision(F.col("_j.quality"), F.col("_j.verdict"), F.col("_j.count"), F.coalesce("verification.num_samples", F.lit(0))))
-    ok = F.col("_j").isNotNull()
+    ok = F.col("_j.quality").isNotNull()
     v = F.col("verification")
     new = v
     for name, value in (("llm_judge_gt_quality", F.col("_j.quality")), ("llm_judge_equivalence", F.col("_j.verdict")), ("llm_judge_majority_answer", F.col("_j.answer")), ("llm_judge_majority_count", F.col("_j.count")), ("llm_judge_model", F.lit(model)), ("llm_judge_raw_response", F.col("reply"))):
@@ -167,14 +167,14 @@ def reference_answer(df: DataFrame) -> Column:
 
 
 @processor("sample_answer_judge")
-def sample_answer_judge(df: DataFrame, client: Client | None = None, min_majority_count: int = 2) -> DataFrame:
+def sample_answer_judge(df: DataFrame, client: Client | None = None, min_majority_count: int = 2, cache_dir: str = "") -> DataFrame:
     """Samples without a verdict are judged against the reference answer, then summarised."""
     df = _v(df)
     if client is None:
         return sample_summary(df, min_majority_count)
     due = df.select("record_id", col("question").alias("question"), reference_answer(df).alias("reference"), F.posexplode("verification.samples").alias("pos", "s")).where("s.judge_correct is null")
     prompt = F.concat_ws("\n", F.lit("Is the answer right? Reply YES or NO."), F.col("question"), F.concat(F.lit("Reference: "), F.col("reference")), F.concat(F.lit("Answer: "), F.coalesce("s.answer", F.lit(""))))
-    got = ask(due, prompt, client).where("reply is not null").groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.contains(F.upper("reply"), F.lit("YES")).alias("ok")))).alias("_ok"))
+    got = ask(due, prompt, client, cache_dir).where("reply is not null").groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.contains(F.upper("reply"), F.lit("YES")).alias("ok")))).alias("_ok"))
     out = df.join(got, "record_id", "left")
     judged = F.transform("verification.samples", lambda s, i: s.withField("judge_correct", F.coalesce(s["judge_correct"], F.col("_ok")[i])))
     out = out.withColumn("verification", F.when(F.col("_ok").isNotNull(), F.col("verification").withField("samples", judged)).otherwise(F.col("verification"))).drop("_ok")
@@ -182,10 +182,10 @@ def sample_answer_judge(df: DataFrame, client: Client | None = None, min_majorit
 
 
 @processor("difficulty_annotation")
-def difficulty_annotation(df: DataFrame, client: Client | None = None, backend: str = "", model: str = "") -> DataFrame:
+def difficulty_annotation(df: DataFrame, client: Client | None = None, backend: str = "", model: str = "", cache_dir: str = "") -> DataFrame:
     if client is None:
         return df
-    got = ask(_v(df), F.concat(F.lit("Rate the difficulty from 1 to 10: "), col("question")), client)
+    got = ask(_v(df), F.concat(F.lit("Rate the difficulty from 1 to 10: "), col("question")), client, cache_dir)
     note = F.struct(text.difficulty_score(F.coalesce("reply", F.lit(""))).alias("score"), F.lit(backend).alias("backend"), F.lit(model).alias("model"), F.col("reply").alias("raw_response"))
     v = F.coalesce(F.col("verification"), F.from_json(F.lit("{}"), schema.PAYLOADS["verification"]))
     return with_event(got.withColumn("verification", v.withField("difficulty_annotation", note)).drop("reply", "error"), event("evaluate", "difficulty_annotation", "kept"))
@@ -222,6 +222,23 @@ def clear_incomplete(df: DataFrame, min_samples: int = 8) -> DataFrame:
     return df.withColumn("verification", F.when(F.col("verification").isNotNull() & partial, cleared).otherwise(F.col("verification")))
 
 
+def cleanup_counts(df: DataFrame, min_samples: int = 8) -> DataFrame:
+    """One row ``(total, complete, incomplete, no_verification)`` of what ``clear_incomplete`` finds."""
+    df = _v(df)
+    size, n = F.coalesce(F.size("verification.samples"), F.lit(0)), F.coalesce("verification.num_samples", F.lit(0))
+    none = F.col("verification").isNull() | (F.to_json("verification") == "{}")
+    complete = ~none & (size >= min_samples) & (n >= min_samples)
+    partial = ~none & ~complete & ((size > 0) | (n > 0))
+    return df.agg(F.count("*").alias("total"), F.count_if(complete).alias("complete"), F.count_if(partial).alias("incomplete"), F.count_if(none).alias("no_verification"))
+
+
+def rollouts(df: DataFrame) -> DataFrame:
+    """One row a record with samples: the side table of rollout results."""
+    v = F.col("verification")
+    d = _v(df).where(F.size("verification.samples") > 0)
+    return d.select(col("record_id").alias("record_id"), v["model"].alias("model"), F.to_json(v["samples"]).alias("samples"), F.to_json(F.transform(v["samples"], lambda s: F.coalesce(s["answer"], F.lit("")))).alias("parsed_answers"), v["majority_answer"].alias("majority_answer"), v["majority_count"].alias("majority_count"), v["majority_matches_gt"].alias("is_correct"))
+
+
 def retry_records(df: DataFrame, num_samples: int = 8, max_question_chars: int = 12000, phase: str | None = None) -> DataFrame:
     df = _v(df)
     out = df.where((F.coalesce(F.size("verification.samples"), F.lit(0)) < num_samples) & (F.length(col("question")) <= max_question_chars))

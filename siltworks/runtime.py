@@ -88,6 +88,34 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def resources() -> dict[str, float]:
+    """Memory in GB of this process and of its children (the JVM, Python workers), from the kernel's accounts."""
+    import os
+    from pathlib import Path
+
+    def amount(pid: int, file: str, key: str) -> int:
+        try:
+            lines = Path(f"/proc/{pid}/{file}").read_text().splitlines()
+        except OSError:
+            return 0
+        return sum(int(x.split()[1]) for x in lines if x.startswith(f"{key}:")) << 10
+
+    def below(pid: int) -> list[int]:
+        try:
+            own = [int(x) for x in Path(f"/proc/{pid}/task/{pid}/children").read_text().split()]
+        except OSError:
+            return []
+        return own + [x for p in own for x in below(p)]
+
+    children = below(os.getpid())
+    kinds = {"rss": ("status", "VmRSS"), "pss": ("smaps_rollup", "Pss"), "private_dirty": ("smaps_rollup", "Private_Dirty"), "private_clean": ("smaps_rollup", "Private_Clean")}
+    out: dict[str, float] = {"children": float(len(children))}
+    for name, (file, key) in kinds.items():
+        out[name] = amount(os.getpid(), file, key) / 2**30
+        out[f"child_{name}"] = sum(amount(p, file, key) for p in children) / 2**30
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

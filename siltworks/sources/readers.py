@@ -111,11 +111,16 @@ def from_conversations(df: DataFrame, dataset_name: str = "", turns: str = "turn
 
 @adapter("openreasoning")
 def conversation_json(spark: SparkSession, config: SourceConfig) -> DataFrame:
-    """JSON files that hold a list of conversations, each a list of turns."""
-    paths = config.input_path if isinstance(config.input_path, str) else ",".join(config.input_path)
+    """JSON files that hold a list of conversations, each a list of turns.
+
+    Such a file is one value and is read in one task. Files with a conversation a line (option
+    ``lines``) are split like any text.
+    """
+    paths = [config.input_path] if isinstance(config.input_path, str) else list(config.input_path)
+    if config.options.get("lines"):
+        return from_conversations(spark.read.text(paths).select(F.from_json("value", _TURNS).alias("turns")).where("turns is not null"), config.dataset_name)
     whole = spark.read.text(paths, wholetext=True)
-    lists = whole.select(F.explode(F.from_json("value", f"array<{_TURNS}>")).alias("turns"))
-    return from_conversations(lists, config.dataset_name)
+    return from_conversations(whole.select(F.explode(F.from_json("value", f"array<{_TURNS}>")).alias("turns")), config.dataset_name)
 
 
 def load_yaml(path: str) -> dict:

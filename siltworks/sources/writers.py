@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks import schema
 from siltworks.operators.clean import col
+from siltworks.operators.evaluate import rollouts
 from siltworks.operators.relational import audit, effective_phase, keep_ids
 
 #: Bytes a shard should have, and what a record is taken to have until it is known.
@@ -46,3 +47,13 @@ def write_kept(df: DataFrame, ids: DataFrame, path: str, unique: bool = False) -
 def split_by_phase(df: DataFrame, path: str) -> None:
     """One directory for each of drop, midtrain and posttrain."""
     schema.encode(df).withColumn("bucket", effective_phase(col("training_phase"))).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def write_judgements(judged: DataFrame, path: str) -> None:
+    """Side table of judged pairs."""
+    judged.select("left_id", "right_id", "is_duplicate", "reply", "error").write.mode("overwrite").parquet(path)
+
+
+def write_rollouts(df: DataFrame, path: str) -> None:
+    """Side table of rollout results: one row a record with samples."""
+    rollouts(df).write.mode("overwrite").parquet(path)
