@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltworks import schema
+from siltworks import runtime, schema
 from siltworks.operators.clean import col
 
 
+def positions(df: DataFrame, *order: str) -> DataFrame:
+    """Adds ``position``, the row's place in the order, without sorting everything in one task."""
+    d = runtime.materialize(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("_at", 33).alias("_part")
+    # a row a partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = d.groupBy(part).agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    d = d.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return d.select(*df.columns, (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("position"))
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, unique: bool = False) -> DataFrame:
     """Rows whose ``record_id`` is listed; with ``unique`` one row an id (the least by all columns)."""
     out = df.join(ids.select("record_id").distinct(), "record_id", "left_semi")
@@ -94,7 +105,12 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return n.crossJoin(F.broadcast(total)).select("value", "records", F.round(100.0 * F.col("records") / F.col("total"), 4).alias("percent"))  # total is one row
 
 
-def latency_summary(df: DataFrame, seconds: str = "seconds") -> DataFrame:
+def latency_summary(df: DataFrame, seconds: str = "seconds", exact: bool = True) -> DataFrame:
+    """Requests, mean and percentiles. Exact percentiles count every value apart, for some 100 million requests;
+    ``exact=False`` takes a sketch with a relative error of 1e-4 in rank."""
+    if not exact:
+        p = F.percentile_approx(seconds, F.array(F.lit(0.5), F.lit(0.99)), 10_000)
+        return df.agg(F.count("*").alias("requests"), F.avg(seconds).alias("mean"), p.alias("p")).select("requests", "mean", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p99"))
     return df.agg(F.count("*").alias("requests"), F.avg(seconds).alias("mean"), F.percentile(seconds, 0.5).alias("p50"), F.percentile(seconds, 0.99).alias("p99"))
 
 

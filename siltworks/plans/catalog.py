@@ -112,7 +112,7 @@ def _empty() -> str:
 _SHORT = f"CASE WHEN {q.short(_Q)} THEN 'drop/short_question' END"
 for _key, _name, _sql in (
     ("c04", "prompt_contamination_filter", _prompt()), ("c05", "missing_context_filter", _missing()), ("c06", "length_filter", _SHORT), ("c07", "language_filter", _language()), ("c08", "math_filter", None), ("c09", "phantom_reference_filter", _phantom()), ("c10", "broken_question_filter", _broken()),
-    ("c11", "mcq_converter", None), ("c12", "meta_task_filter", _meta()), ("c13", "boolean_answer_filter", _boolean()), ("c14", "answer_quality_filter", _quality()), ("c15", "empty_answer_tagger", _empty()),
+    ("c12", "meta_task_filter", _meta()), ("c13", "boolean_answer_filter", _boolean()), ("c14", "answer_quality_filter", _quality()), ("c15", "empty_answer_tagger", _empty()),
 ):
     query(f"{_key}_{_name}", _route_sql(_sql) if _sql else None)(_routed(_name))
 
@@ -233,16 +233,10 @@ def boxed(spark, d):
     return records(spark, d).select("record_id", text.extract_boxed(F.col("raw_dataset_answer")).alias("boxed"), text.parse_answer(F.col("raw_dataset_answer")).alias("parsed"))
 
 
-@query("f30_l2", "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: (x::DOUBLE) * x::DOUBLE))), 6) AS norm FROM embeddings")
-def l2(spark, d):
-    t = runtime.table(spark, d, "embeddings")
-    return t.select("vec_id", F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))), 6).alias("norm"))
-
-
 for _key, _name in (("c01", "text_normalize"), ("c02", "instruction_wrapper_cleaner")):
     query(f"{_key}_{_name}")(lambda spark, d, n=_name: clean.PROCESSORS[n](records(spark, d)).select("record_id", "question"))
 query("c03_text_cleaning", ORACLES["f07_format_text"])(format_text)
-for _key, _name in (("c16", "cot_cleaning"), ("c17", "rule_correctness"), ("c18", "ngram_repetition_filter"), ("c19", "gzip_ratio_annotator"), ("c20", "token_count_annotator")):
+for _key, _name in (("c19", "gzip_ratio_annotator"), ("c20", "token_count_annotator")):
     query(f"{_key}_{_name}")(lambda spark, d, n=_name: schema.encode(clean.PROCESSORS[n](records(spark, d))).select("record_id", "distillation", "meta"))
 
 
@@ -463,3 +457,6 @@ def stream_route(spark, d):
     path = runtime.scratch(spark, "stream")
     streams.write(streams.clean(stream, ["language_filter"]).select(*ROUTED), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out")
+
+
+from siltworks.plans import surface  # noqa: E402, F401 - registers further queries
