@@ -83,7 +83,9 @@ def rollout_correctness(df: DataFrame, client: Client | None = None, n: int = 8,
     got = ask(one, text_of, client, cache_dir, waves=waves)
     answer = F.coalesce(F.nullif(text.extract_boxed(F.col("reply")), F.lit("")), text.parse_answer(F.col("reply"), *((answer_pattern,) if answer_pattern else ())))
     sample = F.struct(F.col("index").cast("int").alias("index"), answer.alias("answer"), F.col("reply").alias("solution"), F.col("reply").alias("reasoning"), F.lit(True).alias("success"), F.lit("natural").alias("stop_reason"), F.lit(None).cast("map<string,int>").alias("token_count"), F.lit(None).cast("boolean").alias("judge_correct"))
-    new = got.where("reply is not null").groupBy("record_id").agg(F.sort_array(F.collect_list(sample.cast(schema.SAMPLE).dropFields("token_count"))).alias("_new"))
+    # a row delivered twice asks twice: one sample an index
+    new = got.where("reply is not null").groupBy("record_id", "index").agg(F.min(sample.cast(schema.SAMPLE).dropFields("token_count")).alias("s"))
+    new = new.groupBy("record_id").agg(F.sort_array(F.collect_list("s")).alias("_new"))
     out = df.where("_due").join(new, "record_id", "left")
     more = F.transform(F.coalesce("_new", F.array()), lambda s: F.struct(s["index"].alias("index"), s["answer"].alias("answer"), s["solution"].alias("solution"), s["reasoning"].alias("reasoning"), s["success"].alias("success"), s["stop_reason"].alias("stop_reason"), F.lit(None).cast("map<string,int>").alias("token_count"), s["judge_correct"].alias("judge_correct")))
     v = F.coalesce(F.col("verification"), F.from_json(F.lit("{}"), schema.PAYLOADS["verification"]))
@@ -174,7 +176,10 @@ def sample_answer_judge(df: DataFrame, client: Client | None = None, min_majorit
         return sample_summary(df, min_majority_count)
     due = df.select("record_id", col("question").alias("question"), reference_answer(df).alias("reference"), F.posexplode("verification.samples").alias("pos", "s")).where("s.judge_correct is null")
     prompt = F.concat_ws("\n", F.lit("Is the answer right? Reply YES or NO."), F.col("question"), F.concat(F.lit("Reference: "), F.col("reference")), F.concat(F.lit("Answer: "), F.coalesce("s.answer", F.lit(""))))
-    got = ask(due, prompt, client, cache_dir).where("reply is not null").groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.contains(F.upper("reply"), F.lit("YES")).alias("ok")))).alias("_ok"))
+    got = ask(due, prompt, client, cache_dir).where("reply is not null")
+    # a row delivered twice is judged twice: one verdict a place
+    got = got.groupBy("record_id", "pos").agg(F.max(F.contains(F.upper("reply"), F.lit("YES"))).alias("ok"))
+    got = got.groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "ok"))).alias("_ok"))
     out = df.join(got, "record_id", "left")
     judged = F.transform("verification.samples", lambda s, i: s.withField("judge_correct", F.coalesce(s["judge_correct"], F.col("_ok")[i])))
     out = out.withColumn("verification", F.when(F.col("_ok").isNotNull(), F.col("verification").withField("samples", judged)).otherwise(F.col("verification"))).drop("_ok")

@@ -351,7 +351,7 @@ def _incoming_pairs(spark, d, exact: bool = True) -> DataFrame:
 
 
 query("d02_jaccard_pairs", f"WITH {_PAIRS} SELECT left_id, right_id, round(s, 6) AS similarity FROM p")(lambda s, d: _incoming_pairs(s, d).withColumn("similarity", F.round("similarity", 6)))
-query("d02_lsh_pairs")(lambda s, d: _incoming_pairs(s, d, False))
+query("d02_lsh_pairs")(lambda s, d: _incoming_pairs(s, d, False).withColumn("similarity", F.round("similarity", 6)))
 query("d04_fuzzy_dedup", f"WITH RECURSIVE {_PAIRS}, e AS MATERIALIZED (SELECT left_id a, right_id b FROM p UNION SELECT m, id FROM (SELECT id, min(id) OVER (PARTITION BY t) AS m FROM n) WHERE m <> id), y AS MATERIALIZED (SELECT a x, b y FROM e UNION SELECT b, a FROM e), v AS (SELECT id AS x, id AS y FROM n UNION SELECT v.x, y.y FROM v JOIN y ON v.y = y.x) SELECT record_id FROM (SELECT x AS record_id, min(y) AS m FROM v GROUP BY 1) WHERE m = record_id")(lambda s, d: dedup.fuzzy_dedup(_incoming(s, d)).select("record_id").distinct())
 
 

@@ -312,3 +312,300 @@ def route_trace(spark, d):
     e = out.select(F.explode("trace").alias("e")).where(F.col("e.processor").isin("filter_short_question_text", "language_filter", "boolean_answer_filter"))
     moved = F.col("e.status").isin("dropped", "routed")
     return e.select("e.processor", F.when(moved, F.col("e.status")).otherwise("rest").alias("status"), F.when(moved, F.col("e.reason_code")).otherwise("").alias("reason")).groupBy("processor", "status", "reason").agg(F.count("*").alias("events"))
+
+
+# ---- sources and sinks ----
+
+query("s03_adapter", ORACLES["s04_same_format"])(lambda s, d: readers.load_source(s, {"adapter": "same_format", "input_path": [f"{d}/incoming_records.parquet"], "dataset_name": "incoming"}).select("record_id", "question", "raw_dataset_answer", "confirmed_answer", "dataset_name"))
+
+
+@query("s06_conversation_files", "SELECT sha256(question) AS record_id, question, coalesce(ground_truth, '') AS raw_dataset_answer, n AS copies FROM benchmark_questions, (VALUES (1), (2)) v(n)")
+def conversation_files(spark, d):
+    """Two files with a list of conversations each, and the same as a conversation a line, through the adapter."""
+    t = runtime.table(spark, d, "benchmark_questions")
+    turn = lambda role, said, truth: F.struct(F.lit(role).alias("from"), said.alias("value"), F.struct(truth.alias("value")).alias("ground_truth"))
+    none = F.lit(None).cast("string")
+    talk = F.array(turn("system", F.lit("Think."), none), turn("human", F.col("question"), none), turn("assistant", F.lit("..."), F.col("ground_truth")))
+    path = runtime.scratch(spark, "conversations")
+    half = F.pmod(F.xxhash64("uid"), F.lit(2))
+    for k in (0, 1):
+        t.where(half == k).agg(F.to_json(F.collect_list(talk)).alias("value")).write.text(f"{path}/list{k}")
+    t.select(F.to_json(talk).alias("value")).write.text(f"{path}/lines")
+    read = lambda where, **o: readers.load_source(spark, {"adapter": "openreasoning", "input_path": where, **o})
+    lists = read([f"{path}/list0", f"{path}/list1"]).withColumn("copies", F.lit(1))
+    lines = read(f"{path}/lines", lines=True).withColumn("copies", F.lit(2))
+    return lists.unionByName(lines).select("record_id", "question", "raw_dataset_answer", "copies")
+
+
+@query("k01_write_canonical", f"SELECT record_id, question, raw_dataset_answer, dataset_name FROM {q.RECORDS}")
+def write_and_read(spark, d):
+    path = runtime.scratch(spark, "canonical")
+    writers.write_canonical(schema.decode(records(spark, d)), path)
+    return readers.read_canonical(spark, path).select("record_id", "question", "raw_dataset_answer", "dataset_name")
+
+
+@query("k02_shard_sizes", "SELECT true AS all_rows, true AS several, true AS even")
+def shard_sizes(spark, d):
+    """Whether shards hold all rows, are several, and none has more rows than its share."""
+    path = runtime.scratch(spark, "shards")
+    r = records(spark, d)
+    target = 1 << 18
+    writers.write_shards(r, path, target)
+    size = schema.encode(r).agg(F.count("*").alias("n"), F.avg(sum((F.length(c) for c in schema.COLUMNS), F.lit(0))).alias("mean"))
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("rows"))
+    return files.agg(F.sum("rows").alias("rows"), F.count("*").alias("files"), F.max("rows").alias("most")).crossJoin(size).select((F.col("rows") == F.col("n")).alias("all_rows"), (F.col("files") > 1).alias("several"), (F.col("most") <= F.floor(target / F.col("mean"))).alias("even"))
+
+
+@query("k04_pairs_file", ORACLES["d01_exact_pairs"])
+def pairs_file(spark, d):
+    path = runtime.scratch(spark, "pairs")
+    writers.write_pairs(dedup.exact_pairs(records(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+@query("k05_rollouts", f"SELECT record_id, coalesce(json_extract_string(v, '$.majority_answer'), NULL) AS majority_answer, {_N}::BIGINT AS samples, json_extract_string(v, '$.majority_matches_gt') = 'true' AS is_correct FROM {_V} WHERE {_N} > 0")
+def rollouts_file(spark, d):
+    path = runtime.scratch(spark, "rollouts")
+    writers.write_rollouts(records(spark, d), path)
+    return spark.read.parquet(path).select("record_id", "majority_answer", F.size(F.from_json("parsed_answers", "array<string>")).cast("long").alias("samples"), "is_correct")
+
+
+@query("k08_checkpoint", f"SELECT record_id, split_part(coalesce(v, '/'), '/', 1) AS training_phase, split_part(coalesce(v, '/'), '/', 2) AS filter_tag FROM (SELECT record_id, CASE WHEN {q.short(_Q)} THEN 'drop/short_question' WHEN {q.strip(_A)} = '' THEN 'midtrain/empty_ground_truth' END AS v FROM {q.RECORDS})")
+def checkpointed(spark, d):
+    """A pipeline that left its steps in a folder, finished by a second run that reads nothing else."""
+    path = runtime.scratch(spark, "steps")
+    config = {"processors": [{"name": "length_filter"}, {"name": "empty_answer_tagger"}]}
+    r = records(spark, d, True)
+    runner.run(r, config, path)
+    return runner.run(r.limit(0), config, path).select(*ROUTED)
+
+
+# ---- deduplication ----
+
+_KEYED_Q = f"SELECT DISTINCT record_id, lower({q.strip(_Q)}) AS k FROM {q.RECORDS}"
+query("t01_exact_order", f"SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS position FROM (SELECT min(record_id) AS record_id FROM ({_KEYED_Q}) GROUP BY k)")(lambda s, d: relational.positions(dedup.exact_dedup(records(s, d), ordered=True).select("record_id"), "record_id"))
+query("t03_first_rows", f"SELECT record_id, position FROM (SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS position FROM (SELECT DISTINCT record_id FROM {q.RECORDS})) WHERE position < 20")(lambda s, d: relational.positions(records(s, d).select("record_id").distinct(), "record_id").where("position < 20"))
+
+def _classes(where: str = "") -> str:
+    """Each record's normal text."""
+    return f"n AS MATERIALIZED (SELECT id, min(t) AS t FROM (SELECT record_id AS id, {q.minhash(_Q)} AS t FROM {q.RECORDS} {where}) GROUP BY 1)"
+
+
+_NEAR = f"""c AS MATERIALIZED (SELECT min(id) AS id, t FROM n WHERE t <> '' GROUP BY t), g AS MATERIALIZED (SELECT id, unnest({_GRAMS}) AS gram FROM c), z AS (SELECT id, count(*) AS size FROM g GROUP BY 1),
+p AS MATERIALIZED (SELECT i.l AS left_id, i.r AS right_id, i.n::DOUBLE / (a.size + b.size - i.n) AS s FROM (SELECT x.id AS l, y.id AS r, count(*) AS n FROM g x JOIN z u ON u.id = x.id JOIN g y ON x.gram = y.gram AND x.id < y.id JOIN z w ON w.id = y.id AND w.size BETWEEN 0.8 * u.size AND u.size / 0.8 GROUP BY 1, 2) i JOIN z a ON a.id = l JOIN z b ON b.id = r WHERE i.n::DOUBLE / (a.size + b.size - i.n) >= 0.8)"""
+_ALL_PAIRS = f"WITH {_classes()}, {_NEAR} SELECT left_id, right_id, round(s, 6) AS similarity FROM p"
+ORACLES["d02_canonical_jaccard_pairs"] = ORACLES["d02_canonical_lsh_pairs"] = _ALL_PAIRS
+ORACLES["d02_lsh_pairs"] = ORACLES["d02_jaccard_pairs"]
+_FUZZY = f"""WITH RECURSIVE {_classes("WHERE training_phase <> 'drop'")}, {_NEAR}, e AS MATERIALIZED (SELECT left_id a, right_id b FROM p UNION SELECT m, id FROM (SELECT id, min(id) OVER (PARTITION BY t) AS m FROM n) WHERE m <> id),
+y AS MATERIALIZED (SELECT a x, b y FROM e UNION SELECT b, a FROM e), v AS (SELECT id AS x, id AS y FROM n UNION SELECT v.x, y.y FROM v JOIN y ON v.y = y.x), gone AS (SELECT x AS id FROM v GROUP BY 1 HAVING min(y) <> x)
+SELECT DISTINCT record_id FROM {q.RECORDS} WHERE record_id NOT IN (SELECT id FROM gone)"""
+ORACLES["d04_canonical_fuzzy_dedup"] = _FUZZY
+query("t02_fuzzy_order", f"SELECT record_id, row_number() OVER (ORDER BY record_id) - 1 AS position FROM ({_FUZZY})")(lambda s, d: relational.positions(dedup.fuzzy_dedup(records(s, d), ordered=True).select("record_id").distinct(), "record_id"))
+query("d02_lsh_recall", "SELECT s AS similarity, round(1 - pow(1 - pow(s, 320 // 40), 40), 9)::DOUBLE AS recall FROM (VALUES (0.7::DOUBLE), (0.8::DOUBLE), (0.9::DOUBLE)) v(s)")(lambda s, d: s.createDataFrame([(x, round(dedup.lsh_recall(x, dedup.PERMUTATIONS, dedup.BANDS), 9)) for x in (0.7, 0.8, 0.9)], "similarity double, recall double"))
+
+
+def _component_sql(edges: str) -> str:
+    """Vertices of the edges with the smallest of their component."""
+    return f"e AS MATERIALIZED ({edges}), y AS MATERIALIZED (SELECT a x, b y FROM e UNION SELECT b, a FROM e), u AS (SELECT DISTINCT x, x AS y FROM y UNION SELECT u.x, y.y FROM u JOIN y ON u.y = y.x), m AS (SELECT x AS id, min(y) AS root FROM u GROUP BY 1)"
+
+
+ORACLES["a11_thresholds"] = " UNION ALL ".join(f"SELECT {t}::DOUBLE AS threshold, (WITH RECURSIVE {_component_sql(f'SELECT DISTINCT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b FROM dedup_pairs WHERE left_id IS NOT NULL AND right_id IS NOT NULL AND NOT isnan(similarity) AND similarity >= {t} AND left_id <> right_id')} SELECT count(*) FROM m WHERE id <> root) AS dropped" for t in (0.7, 0.8, 0.9))
+
+
+def _even(prompt: str) -> str:
+    """A stand-in judge of pairs: decides by the length of the prompt."""
+    return f"Decision: {'YES' if len(prompt) % 2 == 0 else 'NO'}"
+
+
+_ASK_PAIR = "'Do the two questions ask for the same? End with ''Decision: YES'' or ''Decision: NO''.' || chr(10) || 'A: ' || coalesce(left_question, '') || chr(10) || 'B: ' || coalesce(right_question, '')"
+_NAMED_PAIRS = "left_id IS NOT NULL AND right_id IS NOT NULL"
+query("d05_judged_pairs", f"SELECT left_id, right_id, length({_ASK_PAIR}) % 2 = 0 AS is_duplicate FROM dedup_pairs WHERE {_NAMED_PAIRS}")(lambda s, d: inference.judged_pairs(runtime.table(s, d, "dedup_pairs").where(_NAMED_PAIRS), _even).select("left_id", "right_id", "is_duplicate"))
+
+
+def _judge_sql(which: str) -> str:
+    return f"WITH RECURSIVE {_component_sql(f'SELECT DISTINCT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b FROM dedup_pairs WHERE {_NAMED_PAIRS} AND left_id <> right_id AND {which}')} SELECT record_id FROM {q.RECORDS} WHERE record_id NOT IN (SELECT id FROM m WHERE id <> root)"
+
+
+for _name, _veto in (("d06_dedup_judge", False), ("d06_dedup_judge_vetoes", True)):
+    query(_name, _judge_sql(f"length({_ASK_PAIR}) % 2 = 0" if _veto else "true"))(lambda s, d, v=_veto: dedup.dedup_judge(records(s, d), runtime.table(s, d, "dedup_pairs").where(_NAMED_PAIRS), _even, v).select("record_id"))
+
+_PLAIN_IDS = f"SELECT record_id AS id, min({_NORMAL_Q}) AS t FROM {q.RECORDS}"
+_SHINGLED = f"CASE WHEN t = '' THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(regexp_split_to_array(t, '[{SPACE}]+')), 2)), lambda i: array_to_string(regexp_split_to_array(t, '[{SPACE}]+')[i:i + 1], ' '))) END"
+
+
+@query("j12_boundary", f"WITH k AS MATERIALIZED (SELECT id, {_SHINGLED} AS s FROM ({_PLAIN_IDS} WHERE training_phase <> 'drop' GROUP BY 1)), g AS MATERIALIZED (SELECT id, {_SHINGLED} AS s FROM (SELECT * FROM ({_PLAIN_IDS} GROUP BY 1) WHERE id NOT IN (SELECT id FROM k) ORDER BY md5('42:' || id), id LIMIT 50)), p AS (SELECT a.id, b.id AS kept_id, count(*) AS n FROM (SELECT id, unnest(s) AS w FROM g) a JOIN (SELECT id, unnest(s) AS w FROM k) b USING (w) GROUP BY 1, 2), t AS (SELECT p.*, n::DOUBLE / (len(g.s) + len(k.s) - n) AS similarity FROM p JOIN g ON g.id = p.id JOIN k ON k.id = p.kept_id QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY n DESC, kept_id) <= 50) SELECT g.id AS record_id, kept_id, round(similarity, 9) AS similarity FROM g LEFT JOIN (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY id ORDER BY similarity DESC, kept_id) = 1) x USING (id)")
+def boundary(spark, d):
+    r = records(spark, d)
+    return dedup.boundary_report(r, r.where("training_phase <> 'drop'"), 50).withColumn("similarity", F.round("similarity", 9))
+
+
+# ---- decontamination ----
+
+
+def _letters(texts: list[str]) -> list[list[float]]:
+    """A stand-in embedder: counts of letters."""
+    return [[float(t.lower().count(c)) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+
+def _letter_vectors(source: str) -> str:
+    counts = "[" + ", ".join(f"(length(l) - length(replace(l, '{c}', '')))::DOUBLE" for c in "abcdefghijklmnopqrstuvwxyz") + "]"
+    return f"SELECT id, question, list_transform(v, lambda x: (x / greatest(sqrt(list_sum(list_transform(v, lambda y: y * y))), 1e-12))::FLOAT) AS e FROM (SELECT id, question, {counts} AS v FROM (SELECT *, lower(question) AS l FROM ({source})))"
+
+
+def _nearest_sql(targets: str, k: int) -> str:
+    """Each benchmark question's k nearest target rows."""
+    return f"""b AS MATERIALIZED ({_letter_vectors(f"SELECT coalesce(uid, '') AS id, {q.strip('question')} AS question FROM benchmark_questions WHERE {q.strip('question')} <> ''")}),
+t AS MATERIALIZED ({_letter_vectors(targets)}), f AS MATERIALIZED (SELECT id, min(question) AS question FROM t GROUP BY 1),
+s AS (SELECT b.id AS uid, b.question AS asked, t.id, round(list_dot_product(b.e::DOUBLE[], t.e::DOUBLE[]), 12) AS similarity FROM b, t QUALIFY row_number() OVER (PARTITION BY b.id ORDER BY round(list_dot_product(b.e::DOUBLE[], t.e::DOUBLE[]), 12) DESC, t.id) <= {k})"""
+
+
+ORACLES["x02_decontamination"] = f"WITH {_nearest_sql(f'SELECT record_id AS id, question FROM {q.RECORDS}', 5)} SELECT record_id, '' AS training_phase, coalesce(n, 0)::INTEGER AS candidates FROM {q.RECORDS} LEFT JOIN (SELECT id, count(*) AS n FROM s GROUP BY 1) ON id = record_id"
+_ASKED = "length('Is the training question the benchmark question?' || chr(10) || 'Benchmark: ' || asked || chr(10) || 'Training: ' || f.question || chr(10) || chr(10) || 'Reply {\"decision\": \"yes\" or \"no\", \"reason\": ...}.')"
+
+
+@query("x03_decontamination_steps", f"WITH {_nearest_sql(f'SELECT record_id AS id, question FROM {q.RECORDS} WHERE training_phase IN ({chr(39)}posttrain{chr(39)}, {chr(39)}midtrain{chr(39)})', 3)}, j AS (SELECT s.uid, {_ASKED} % 3 = 0 AS yes FROM s JOIN f ON f.id = s.id), d AS (SELECT coalesce(dataset_name, '') AS benchmark_source, yes FROM j JOIN benchmark_questions USING (uid)) SELECT benchmark_source, count(*) AS judged, count(*) FILTER (WHERE yes) AS contaminated, round(count(*) FILTER (WHERE yes)::DOUBLE / count(*), 4) AS drop_rate FROM d GROUP BY 1")
+def decontamination_steps(spark, d):
+    """Load, embed and search in three steps over a folder, embedded a second time from what is there."""
+    path = runtime.scratch(spark, "decontamination")
+    r = records(spark, d)
+    decontaminate.decontam_load(r, runtime.table(spark, d, "benchmark_questions"), path)
+    decontaminate.decontam_embed(r, _letters, path, "letters")
+
+    def never(texts: list[str]) -> list[list[float]]:
+        raise RuntimeError("embedded already")
+
+    decontaminate.decontam_embed(r, never, path, "letters")
+    yes = lambda p: '{"decision": "yes", "reason": ""}' if len(p) % 3 == 0 else '{"decision": "no", "reason": ""}'
+    runtime.materialize(decontaminate.decontam_search(r, yes, checkpoint_dir=path, model="letters", top_k=3), "searched")
+    return spark.read.json(f"{path}/benchmark_drop_stats").select("benchmark_source", "judged", "contaminated", "drop_rate")
+
+
+# ---- evaluation ----
+
+_SAMPLES = "CASE WHEN json_type(v, '$.samples') = 'ARRAY' THEN list_transform(json_extract(v, '$.samples[*]'), lambda e: coalesce(json_extract_string(e, '$.answer'), '')) ELSE [] END"
+_RAW = f"(SELECT record_id, coalesce(raw_dataset_answer, '') AS raw, coalesce(question, '') AS question, coalesce(confirmed_answer, '') AS confirmed_answer, coalesce(training_phase, '') AS training_phase, coalesce(filter_tag, '') AS filter_tag, {_SAMPLES} AS a, v FROM (SELECT *, CASE WHEN json_valid(verification) THEN verification END AS v FROM canonical_records))"
+
+
+def _voted(rows: str) -> str:
+    """Majority, match and pass ratio over lists of answers ``a``; columns of ``rows`` pass."""
+    best = "list_transform(list_distinct(list_filter(a, lambda x: x <> '')), lambda x: {'n': len(list_filter(a, lambda y: y = x)), 'first': -list_position(a, x), 'v': x})"
+    normal = q.normal("x")
+    return f"SELECT *, greatest(len(a), 1) AS num_samples, coalesce(m.v, '') AS majority_answer, coalesce(m.n, 0) AS majority_count, {q.normal('coalesce(m.v, chr(32))')} = {q.normal('raw')} AS majority_matches_gt, round(len(list_filter(a, lambda x: {normal} = {q.normal('raw')}))::DOUBLE / greatest(len(a), 1), 6) AS pass_ratio FROM (SELECT *, list_sort({best}, 'DESC')[1] AS m FROM {rows})"
+
+
+ORACLES["e01_verification"] = f"SELECT record_id, num_samples::INTEGER AS num_samples, majority_answer, majority_count::INTEGER AS majority_count, majority_matches_gt, pass_ratio FROM ({_voted(_RAW)})"
+
+
+def _sampler(prompt: str) -> str:
+    """A stand-in model: one of three answers, by the characters of the prompt."""
+    return f"So \\boxed{{{sum(map(ord, prompt)) // 2 % 3}}}"
+
+
+_PROMPTED = "question || chr(10) || chr(10) || 'Put the final answer within \\boxed{}.' || ' (attempt ' || i || ')'"
+_ROLLED = f"(SELECT record_id, question, raw, CASE WHEN length(question) <= 6000 THEN list_transform(range(0, 3), lambda i: (list_sum(list_transform(string_split({_PROMPTED}, ''), lambda c: unicode(c))) // 2 % 3)::BIGINT::VARCHAR) END AS a FROM {_RAW})"
+
+
+@query("e01_rollout", f"SELECT record_id, CASE WHEN a IS NOT NULL THEN num_samples END::INTEGER AS num_samples, CASE WHEN a IS NOT NULL THEN majority_answer END AS majority_answer, CASE WHEN a IS NOT NULL THEN majority_count END::INTEGER AS majority_count, CASE WHEN a IS NOT NULL THEN pass_ratio END AS pass_ratio, CASE WHEN a IS NULL THEN '' WHEN majority_matches_gt THEN '' ELSE 'gt_suspect' END AS reason_code FROM ({_voted(_ROLLED)})")
+def rollout(spark, d):
+    """Three samples of every question, asked in two waves that are kept; a second run asks nothing."""
+    r = records(spark, d, True).withColumns({"verification": F.lit("{}"), "trace": F.lit("[]")})
+    path = runtime.scratch(spark, "replies")
+
+    def down(prompt: str) -> str:
+        raise RuntimeError("asked already")
+
+    runtime.materialize(schema.encode(evaluate.rollout_correctness(r, _sampler, n=3, cache_dir=path, waves=2)), "first-run")
+    out = evaluate.rollout_correctness(r, down, n=3, cache_dir=path)
+    v = F.col("verification")
+    return out.select("record_id", v["num_samples"].alias("num_samples"), v["majority_answer"].alias("majority_answer"), v["majority_count"].alias("majority_count"), F.round(v["pass_ratio"], 6).alias("pass_ratio"), F.element_at("trace", -1)["reason_code"].alias("reason_code"))
+
+
+_JUDGE_PROMPT = "length('Judge the reference answer against the samples. Reply {\"gt_quality\":..., \"judgement\":..., \"majority_answer\":..., \"majority_count\":...}.' || chr(10) || question || chr(10) || raw || chr(10) || array_to_string(a, chr(10)))"
+_DUE = "training_phase = 'posttrain' AND coalesce(json_extract_string(v, '$.majority_matches_gt') = 'false', false) AND json_extract_string(v, '$.llm_judge_gt_quality') IS NULL"
+ORACLES["e02_answer_judge"] = f"SELECT record_id, coalesce(split_part(x, '/', 1), training_phase) AS training_phase, coalesce(split_part(x, '/', 2), filter_tag) AS filter_tag FROM (SELECT *, CASE WHEN NOT ({_DUE}) THEN NULL WHEN len(a) = 0 THEN 'midtrain/answer_uncertain' WHEN {_JUDGE_PROMPT} % 2 = 1 THEN 'posttrain/equivalent_rescued' ELSE 'midtrain/answer_mismatch' END AS x FROM {_RAW})"
+_REFERENCE = "coalesce(" + ", ".join(f"nullif({q.strip(c)}, '')" for c in ("confirmed_answer", "json_extract_string(v, '$.confirmed_answer')", "json_extract_string(v, '$.majority_answer')", "raw")) + ", '')"
+_RIGHT = f"length('Is the answer right? Reply YES or NO.' || chr(10) || question || chr(10) || 'Reference: ' || {_REFERENCE} || chr(10) || 'Answer: ' || coalesce(json_extract_string(e, '$.answer'), '')) % 2 = 0"
+_JUDGED_SAMPLES = f"len(list_filter(json_extract(v, '$.samples[*]'), lambda e: coalesce(CASE json_extract_string(e, '$.judge_correct') WHEN 'true' THEN true WHEN 'false' THEN false END, {_RIGHT})))"
+
+
+@query("e03_judged_samples", f"SELECT record_id, round(CASE WHEN n > 0 THEN {_JUDGED_SAMPLES}::DOUBLE / coalesce(nullif(TRY_CAST(json_extract_string(v, '$.num_samples') AS INTEGER), 0), n) ELSE TRY_CAST(json_extract_string(v, '$.pass_ratio') AS DOUBLE) END, 6) AS pass_ratio, CASE WHEN low THEN 'midtrain' ELSE training_phase END AS training_phase FROM (SELECT *, len(a) AS n, training_phase = 'posttrain' AND len(a) > 0 AND coalesce(TRY_CAST(json_extract_string(v, '$.majority_count') AS INTEGER), 0) < 2 AS low FROM {_RAW})")
+def judged_samples(spark, d):
+    out = evaluate.sample_answer_judge(records(spark, d), lambda p: "YES" if len(p) % 2 == 0 else "NO")
+    return out.select("record_id", F.round("verification.pass_ratio", 6).alias("pass_ratio"), "training_phase")
+
+
+ORACLES["e04_difficulty"] = f"SELECT record_id, (length('Rate the difficulty from 1 to 10: ' || question) % 10 + 1)::DOUBLE AS score FROM {q.RECORDS}"
+
+
+@query("e05_pass_ratio_tags", f"SELECT record_id, CASE WHEN r < 0.2 THEN 'too_hard' ELSE 'too_easy' END AS filter_tag FROM (SELECT record_id, CASE WHEN json_valid(verification) THEN coalesce(TRY_CAST(json_extract_string(verification, '$.pass_ratio') AS DOUBLE), 0) ELSE 0 END AS r FROM canonical_records) WHERE r NOT BETWEEN 0.2 AND 0.9")
+def pass_ratio_tags(spark, d):
+    return evaluate.pass_ratio_rejects(records(spark, d), 0.2, 0.9).select("record_id", "filter_tag")
+
+
+_NUM = "coalesce(TRY_CAST(json_extract_string(v, '$.num_samples') AS INTEGER), 0)"
+query("a14_cleanup_counts", f"SELECT count(*) AS total, count(*) FILTER (WHERE NOT none AND s >= 3 AND n >= 3) AS complete, count(*) FILTER (WHERE NOT none AND NOT (s >= 3 AND n >= 3) AND (s > 0 OR n > 0)) AS incomplete, count(*) FILTER (WHERE none) AS no_verification FROM (SELECT {_N} AS s, {_NUM} AS n, v IS NULL OR json_type(v) <> 'OBJECT' OR len(json_keys(v)) = 0 AS none FROM {_V})")(lambda s, d: evaluate.cleanup_counts(records(s, d), 3))
+
+# ---- model calls ----
+
+_CONTENT = "length(question || chr(10) || 'Answer: ' || raw_dataset_answer)"
+ORACLES["l01_classifier"] = f"SELECT record_id, CASE WHEN {_CONTENT} < 200 THEN 'drop' ELSE '' END AS training_phase, CASE WHEN {_CONTENT} < 200 THEN 'short' ELSE '' END AS filter_tag FROM {q.RECORDS}"
+
+
+@query("l02_cache_folder", ORACLES["l02_cache"])
+def cache_folder(spark, d):
+    """Every request once; a second run with a client that is down finds all replies."""
+    prompts = runtime.table(spark, d, "benchmark_questions").select(col("question").alias("prompt"))
+    path = runtime.scratch(spark, "replies")
+
+    def down(prompt: str) -> str:
+        raise RuntimeError("asked already")
+
+    runtime.materialize(inference.infer(prompts, lambda p: str(len(p)), path, waves=3), "first-run")
+    return inference.infer(prompts, down, path).select("key", "reply")
+
+
+query("l05_vectors", f"SELECT record_id, length(question)::DOUBLE AS first, 2 AS dims FROM {q.RECORDS}")(lambda s, d: inference.embed(records(s, d).select("record_id", "question"), "question", lambda ts: [[float(len(t)), 1.0] for t in ts]).select("record_id", F.col("embedding")[0].cast("double").alias("first"), F.size("embedding").alias("dims")))
+ORACLES["l05_embed"] = "SELECT uid, 2 AS dims FROM benchmark_questions"
+
+# ---- orchestration and streams ----
+
+_NEW = f"(SELECT coalesce(nullif(trim(uid), ''), sha256(coalesce(question, ''))) AS record_id, {q.formatted(q.urls('coalesce(question, chr(32))'))} AS question, coalesce(ground_truth, '') AS raw_dataset_answer, coalesce(nullif(trim(dataset_name), ''), 'incoming') AS dataset_name FROM incoming_records)"
+ORACLES["o04_add_dataset"] = f"""WITH n AS MATERIALIZED (SELECT * FROM {_NEW}), r AS MATERIALIZED (SELECT record_id, question, dataset_name FROM {q.RECORDS}),
+k AS (SELECT record_id, lower({q.strip('min(question)')}) AS k FROM (SELECT record_id, question FROM r UNION ALL SELECT record_id, question FROM n) GROUP BY 1), s AS (SELECT min(record_id) AS record_id FROM k GROUP BY k)
+SELECT record_id, dataset_name FROM r UNION ALL SELECT record_id, dataset_name FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY question, raw_dataset_answer, dataset_name) AS o FROM n WHERE record_id IN (SELECT record_id FROM s) AND record_id NOT IN (SELECT record_id FROM r)) WHERE o = 1"""
+
+
+@query("o02_stages", "SELECT * FROM (VALUES (0, 'text_cleaning'), (1, 'language_filter'), (2, 'length_filter'), (3, 'mcq_converter'), (4, 'rule_correctness'), (5, 'exact_dedup'), (6, 'fuzzy_dedup'), (7, 'pass_ratio_filter')) v(step, processor)")
+def stages(spark, d):
+    """What older stage names stand for, in order."""
+    steps = runner.steps_of({"stages": [{"name": "stage1_non_cot"}, {"name": "stage2_dedup"}, {"name": "stage4_cot", "enabled": False}, {"name": "stage5_pass_ratio"}]})
+    return spark.createDataFrame([(i, s["name"]) for i, s in enumerate(steps)], "step int, processor string")
+
+
+@query("o05_phases", "SELECT * FROM (VALUES (1, 'text_cleaning'), (1, 'length_filter'), (2, 'exact_dedup'), (2, 'fuzzy_dedup'), (3, 'pass_ratio_filter')) v(phase, processor)")
+def phases(spark, d):
+    """A pipeline split for incremental addition."""
+    parts = runner.phases_of([{"name": n} for n in ("text_cleaning", "exact_dedup", "length_filter", "fuzzy_dedup", "pass_ratio_filter")])
+    return spark.createDataFrame([(i + 1, s["name"]) for i, p in enumerate(parts) for s in p], "phase int, processor string")
+
+
+def _stream(spark, d, name: str = "canonical_records") -> DataFrame:
+    return streams.read(spark, f"{d}/{name[:-1]}[{name[-1]}].parquet", spark.read.parquet(f"{d}/{name}.parquet").schema)
+
+
+@query("z02_stream_dedup", f"SELECT count(DISTINCT lower({q.strip('coalesce(question, chr(32))')})) AS records FROM canonical_records")
+def stream_dedup(spark, d):
+    """First arrivals of each text over a stream of files, within a watermark as wide as the table."""
+    path = runtime.scratch(spark, "stream")
+    s = _stream(spark, d).select("record_id", "question", "ingested_at").withColumn("ingested_at", F.coalesce("ingested_at", F.lit("2000-01-01").cast("timestamp")))
+    streams.write(streams.deduplicate(s, within="36500 days"), f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.parquet(f"{path}/out").agg(F.count("*").alias("records"))
+
+
+@query("z03_stream_counts", "SELECT epoch(time_bucket(INTERVAL '1 hour', ts::TIMESTAMP))::BIGINT AS start, event_type AS dataset_name, count(*) AS records FROM events GROUP BY 1, 2")
+def stream_counts(spark, d):
+    """Windowed counts over a stream; the closing batch ends when the watermark passes the last window."""
+    path = runtime.scratch(spark, "stream")
+    s = _stream(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ingested_at"), F.col("event_type").alias("dataset_name"))
+    streams.counts(s).writeStream.outputMode("complete").format("memory").queryName((name := "counts_" + path[-12:])).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).withColumn("start", F.unix_timestamp("start"))
