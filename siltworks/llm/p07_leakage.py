@@ -143,4 +143,12 @@ d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}
 n AS (SELECT DISTINCT need FROM i),
 r AS (SELECT doc_id, need, unnest(list_transform(range(1, len(w) - need + 2), lambda k: array_to_string(w[k:k + need - 1], ' '))) AS run FROM d, n WHERE len(w) >= need)
 SELECT DISTINCT doc_id, uid FROM r JOIN g USING (need, run)"""
-ORACLES = {"p7_found": _SQL}
+#: The longest run of a pair: equal words on a diagonal, in islands of neighbours.
+_LONGEST = f"""WITH i AS (SELECT DISTINCT uid, question, w FROM (SELECT uid, question, regexp_extract_all(lower(question), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark_questions WHERE uid IS NOT NULL AND question IS NOT NULL) WHERE len(w) > 0),
+d AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL), f AS MATERIALIZED ({_SQL}),
+a AS (SELECT f.doc_id, f.uid, i.question, i.w, d.w AS dw FROM f JOIN i ON i.uid = f.uid JOIN d ON d.doc_id = f.doc_id),
+x AS (SELECT doc_id, uid, question, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS j FROM a), y AS (SELECT doc_id, uid, question, unnest(dw) AS word, unnest(range(len(dw))) AS k FROM a),
+m AS (SELECT x.doc_id, x.uid, x.question, n, k, k - j AS diagonal FROM x JOIN y USING (doc_id, uid, question, word)),
+r AS (SELECT doc_id, uid, question, n, count(*) AS run FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id, uid, question, diagonal ORDER BY k) AS island FROM m) GROUP BY doc_id, uid, question, n, diagonal, island)
+SELECT doc_id, uid, max(run) AS run_words, max(n)::BIGINT AS item_words FROM r WHERE run >= (n + 1) // 2 GROUP BY 1, 2"""
+ORACLES = {"p7_found": _SQL, "p7_leaks": _LONGEST}

@@ -280,4 +280,9 @@ g AS MATERIALIZED (SELECT DISTINCT rep, md5(substring(text, k, 300)) AS h FROM c
 p AS (SELECT DISTINCT a.rep AS l, b.rep AS r FROM g a JOIN g b ON a.h = b.h AND a.rep < b.rep),
 m AS (SELECT d.doc_id, c.rep FROM d JOIN c ON d.text = c.text)
 SELECT DISTINCT least(x.doc_id, y.doc_id) AS doc_id_a, greatest(x.doc_id, y.doc_id) AS doc_id_b FROM (SELECT l, r FROM p UNION ALL SELECT rep, rep FROM c) q JOIN m x ON x.rep = q.l JOIN m y ON y.rep = q.r WHERE x.doc_id <> y.doc_id"""
-ORACLES = {"p9_found": _SQL}
+#: Every place whose next 300 characters stand in another text, and the characters they cover.
+_SHARED = """WITH d AS MATERIALIZED (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL), c AS (SELECT text, min(doc_id) AS rep, count(*) AS copies FROM d WHERE length(text) >= 300 GROUP BY 1),
+g AS MATERIALIZED (SELECT rep, k, md5(substring(text, k, 300)) AS h FROM c, unnest(range(1, length(text) - 298)) u(k)), h AS (SELECT h FROM g GROUP BY 1 HAVING min(rep) <> max(rep)),
+p AS (SELECT DISTINCT rep, k FROM g SEMI JOIN h USING (h)), s AS (SELECT rep, sum(n) AS part FROM (SELECT rep, least(300, coalesce(lead(k) OVER (PARTITION BY rep ORDER BY k) - k, 300)) AS n FROM p) GROUP BY 1)
+SELECT doc_id, shared_chars, n_chars, CASE WHEN n_chars > 0 THEN shared_chars::DOUBLE / n_chars ELSE 0.0 END::DOUBLE AS share FROM (SELECT d.doc_id, (CASE WHEN c.copies > 1 THEN length(d.text) ELSE coalesce(s.part, 0) END)::BIGINT AS shared_chars, coalesce(length(d.text), 0)::BIGINT AS n_chars FROM d LEFT JOIN c ON c.text = d.text LEFT JOIN s ON s.rep = d.doc_id)"""
+ORACLES = {"p9_found": _SQL, "p9_shared": _SHARED}
