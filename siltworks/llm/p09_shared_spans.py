@@ -7,18 +7,24 @@ a span share an anchored suffix with the same first ``K`` characters; nothing is
 
 1. Suffixes are partitioned by that prefix. Prefixes that only one text has are dropped by a
    map-side aggregate before any text is moved.
-2. Each group builds its tree from the sorted right contexts (suffix array and common prefix
-   lengths). A node of depth r, together with an equal left context of ``LENGTH - r``
-   characters, is a maximal repeat deep enough; its leaves are a clique of documents.
-3. A group larger than ``GROUP`` suffixes isn't built in one task: its prefixes are lengthened
-   to all ``LENGTH`` characters (one key for each place of the prefix in the span) and grouped
-   by Spark, so that a passage in a third of all documents is counted, not paired, to be found.
-4. Pairs are made from cliques in blocks of ``BLOCK`` members.
+2. A group of at most ``GROUP`` suffixes builds its tree from the sorted right contexts (suffix
+   array and common prefix lengths). A node of depth r, together with an equal left context of
+   ``LENGTH - r`` characters, is a maximal repeat deep enough; its leaves are a clique of documents.
+3. The prefixes of a larger group are lengthened until its parts fit. Known of a group are the
+   ``a`` characters before and the ``b`` characters after the place that all share (at first 0 and
+   ``K``). A span goes on to the right to some length L at least, or else it begins the more to the
+   left: the group is split once by the longer right prefix (a, L) and once by the longer left one
+   (LENGTH - L + 1, b), with L half way. When a + b reaches ``LENGTH``, a group is a clique as it
+   stands, so a passage in a third of all documents is counted, not compared, to be found.
+4. Pairs are made from cliques in blocks of ``BLOCK`` members. A passage in n different texts has
+   about n^2 / 2 pairs, as ``p9_found`` is defined; ``p9_cliques`` gives the n members instead.
 
 Copies of a whole text are one class with the smallest ``doc_id``; classes of up to ``COPIES``
 members are expanded to pairs at the end, larger ones pair each copy with the class's
 representative (membership), which loses no link between different texts.
 
+Texts are told apart by 128 bits of hash (copies, lengthened prefixes); trees compare the texts.
+
 Defined results: null, empty and short texts share nothing; a repeated row (same ``doc_id`` and
 text) counts once; extra columns are ignored; an empty table gives an empty result.
 """
@@ -39,6 +45,7 @@ LENGTH = 300
 GROUP = 20_000
 BLOCK = 200
 COPIES = 64
+SALTS = 16
 
 
 def anchors(text: str, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,12 +124,12 @@ def _common(a: str, b: str) -> int:
     return lo
 
 
-def tree_cliques(members: list[tuple[int, int, str, str]], length: int) -> list[list[tuple[int, int, int]]]:
+def tree_cliques(members: list[tuple[int, int, str, str]], length: int, least: int = 0) -> list[list[tuple[int, int, int]]]:
     """Cliques of (doc, start, end) from the suffix tree of one prefix group.
 
-    members: (doc, pos, left context, right context), all with the same first characters.
+    members: (doc, pos, left context, right context), all with the same first ``least`` characters.
     """
-    k = length // 2
+    k = least or length // 2
     members = sorted(members, key=lambda m: m[3])
     lcp = [_common(a[3], b[3]) for a, b in zip(members, members[1:], strict=False)]
     out, seen = [], set()
@@ -157,71 +164,91 @@ def tree_cliques(members: list[tuple[int, int, str, str]], length: int) -> list[
     return out
 
 
-_CLIQUE = "clique long, doc long, start int, end int"
+_CLIQUE = "clique string, doc long, start int, end int"
 
 
 def _trees(length: int):
     import pandas as pd
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        found = tree_cliques(list(zip(pdf["doc"].tolist(), pdf["pos"].tolist(), pdf["left"], pdf["right"], strict=True)), length)
+        found = tree_cliques(list(zip(pdf["doc"].tolist(), pdf["pos"].tolist(), pdf["left"], pdf["right"], strict=True)), length, int(pdf["b"].iloc[0]))
         for n, clique in enumerate(found):
-            tag = hashlib.blake2b(f"{key[0]}/{n}".encode(), digest_size=8).digest()
-            rows += [(int.from_bytes(tag, "little", signed=True), d, s, e) for d, s, e in clique]
+            tag = _digest(f"{key[0]}/{n}")
+            rows += [(tag, d, s, e) for d, s, e in clique]
         return pd.DataFrame(rows, columns=["clique", "doc", "start", "end"])
 
     return run
 
 
-def _widened(length: int):
-    """Hot groups: every span of full length around the prefix as a key of its own."""
-    k = length // 2
+def _digest(t: str) -> str:
+    return hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+_SUFFIX = "key string, doc long, pos int, left string, right string, a int, b int"
+
+
+def _lengthened(length: int):
+    """Each suffix under two keys: one by a longer right prefix, one by a longer left one, as far as it reaches."""
 
     def run(batches):
-        for b in batches:
-            doc, clique, start = [], [], []
-            for d, p, left, right in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                code = codes(left + right)
-                if len(code) < length:
-                    continue
-                h = signed(mix(Rolling(mix(code, 5)).grams(length), 6))
-                s = np.arange(len(h))
-                ok = s <= len(left)  # the span has to hold the prefix
-                ok &= s + length >= len(left) + k
-                doc.append(np.full(ok.sum(), d, dtype=np.int64))
-                clique.append(h[ok])
-                start.append((p - len(left) + s[ok]).astype(np.int32))
-            if doc:
-                s = np.concatenate(start)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(clique), np.concatenate(doc), s, (s + length).astype(np.int32))], ["clique", "doc", "start", "end"])
+        for batch in batches:
+            rows = []
+            for d, p, left, right, a, b in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                far = (b + length - a + 1) // 2  # b < far <= length - a
+                for x, y in ((a, far), (length - far + 1, b)):
+                    if len(left) >= x and len(right) >= y:
+                        rows.append((f"{x}/{y}/" + _digest(left[len(left) - x :] + right[:y]), d, p, left, right, x, y))
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["key", "doc", "pos", "left", "right", "a", "b"])
 
     return run
 
 
+def copies_of(docs: DataFrame) -> DataFrame:
+    """``(doc, rep)`` for every document ``(doc, text)`` whose text has another copy with a smaller id."""
+    d = docs.select("doc", F.unhex(F.md5("text")).alias("m"), F.length("text").alias("n")).distinct()
+    rep = d.groupBy("m", "n").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")).where("rep <> last").select("m", "n", "rep")
+    # salted: a text may have a third of all documents
+    rep = rep.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return d.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).join(rep, ["m", "n", "salt"]).where("doc <> rep").select("doc", "rep")
+
+
 def cliques(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """(cliques, copies): clique members ``(clique, doc, start, end)`` over class representatives,
     and ``(doc, rep)`` for every document whose text has another copy with a smaller id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where(F.col("doc").isNotNull() & (F.length("text") >= length))
     wide = runtime.fit_partitions(docs)
-    found = runtime.materialize(wide.mapInArrow(_scan(length), "key long, cls long, doc long, pos int"), "p09-anchors")
+    anchored = runtime.materialize(wide.mapInArrow(_scan(length), "key long, cls long, doc long, pos int"), "p09-anchors")
     # copies of a text have the same anchors: combined map-side, each class stands once under its smallest id
-    once = found.groupBy("key", "cls", "pos").agg(F.min("doc").alias("doc"))
+    once = anchored.groupBy("key", "cls", "pos").agg(F.min("doc").alias("doc"))
     # prefixes of one class only go before any text is moved
-    shared = found.groupBy("key").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).where("a <> b").select("key")
+    shared = anchored.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("key")
     kept = once.join(shared, "key", "left_semi")
     places = kept.groupBy("doc").agg(F.collect_set(F.struct("pos", "key")).alias("s")).select("doc", F.col("s.pos").alias("pos"), F.col("s.key").alias("keys"))
-    suffixes = docs.join(places, "doc")
-    suffixes = runtime.materialize(suffixes.select("doc", "text", "pos", "keys").mapInArrow(_contexts(length), "doc long, key long, pos int, left string, right string").dropDuplicates(["doc", "key", "pos"]), "p09-suffixes")
-    size = suffixes.groupBy("key").agg(F.count("*").alias("n"))
-    small = suffixes.join(size.where(F.col("n") <= group).select("key"), "key", "left_semi")
-    hot = suffixes.join(size.where(F.col("n") > group).select("key"), "key", "left_semi")
-    tree = small.groupBy("key").applyInPandas(_trees(length), _CLIQUE)
-    wide_keys = hot.select("doc", "pos", "left", "right").mapInArrow(_widened(length), _CLIQUE)
-    several = wide_keys.groupBy("clique").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("clique")
-    classes = found.groupBy("cls").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")).where("rep <> last").select("cls", "rep")
-    copies = found.select("cls", "doc").distinct().join(classes, "cls").where("doc <> rep").select("doc", "rep")
-    return runtime.materialize(tree.unionByName(wide_keys.join(several, "clique", "left_semi")), "p09-cliques"), copies
+    suffixes = docs.join(places, "doc").select("doc", "text", "pos", "keys").mapInArrow(_contexts(length), "doc long, key long, pos int, left string, right string").dropDuplicates(["doc", "key", "pos"])
+    suffixes = runtime.materialize(suffixes.select(F.col("key").cast("string").alias("key"), "doc", "pos", "left", "right", F.lit(0).alias("a"), F.lit(length // 2).alias("b")), "p09-suffixes")
+    used, found = [anchored, suffixes], []
+    while True:
+        size = suffixes.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
+        size = runtime.materialize(size.select("key", "n"), "p09-sizes")
+        used.append(size)
+        whole = F.col("a") + F.col("b") >= length
+        trees = suffixes.where(~whole).join(size.where(F.col("n") <= group).select("key"), "key", "left_semi")
+        found.append(trees.groupBy("key").applyInPandas(_trees(length), _CLIQUE))
+        found.append(suffixes.where(whole).join(size.select("key"), "key", "left_semi").select(F.col("key").alias("clique"), "doc", (F.col("pos") - F.col("a")).alias("start"), (F.col("pos") + F.col("b")).alias("end")))
+        hot = size.where(F.col("n") > group).select("key")
+        if not hot.take(1):
+            break
+        suffixes = suffixes.where(~whole).join(hot, "key", "left_semi").select("doc", "pos", "left", "right", "a", "b").mapInArrow(_lengthened(length), _SUFFIX)
+        suffixes = runtime.materialize(suffixes, "p09-suffixes")
+        used.append(suffixes)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    out = runtime.materialize(out.distinct(), "p09-cliques")
+    runtime.discard(*used)
+    return out, copies_of(docs)
 
 
 def pairs_of(members: DataFrame, group: str, item: str, block: int = BLOCK) -> DataFrame:
@@ -270,9 +297,21 @@ def shared(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return out.select(F.col("doc").alias("doc_id"), F.when(F.col("whole"), F.col("n_chars")).otherwise(F.coalesce("part", F.lit(0))).cast("long").alias("shared_chars"), F.coalesce("n_chars", F.lit(0)).cast("long").alias("n_chars")).withColumn("share", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(F.lit(0.0)))
 
 
+def members(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``(passage, doc_id, texts)``: each maximal passage that several texts share, with its documents; copies
+    of a text come under the smallest ``doc_id``. ``texts`` is the number of different texts."""
+    found, copies = cliques(docs, length)
+    m = found.select(F.col("clique").alias("passage"), F.col("doc").alias("doc_id")).distinct()
+    size = m.groupBy("passage").agg(F.count("*").alias("texts"))
+    rep = copies.groupBy(F.col("rep").alias("doc_id")).agg(F.first("rep").alias("passage")).select(F.concat(F.lit("copies/"), "passage").alias("passage"), "doc_id", F.lit(1).cast("long").alias("texts"))
+    again = copies.select(F.concat(F.lit("copies/"), "rep").alias("passage"), F.col("doc").alias("doc_id"), F.lit(1).cast("long").alias("texts"))
+    return m.join(size, "passage").unionByName(rep).unionByName(again)
+
+
 QUERIES = {
     "p9_found": lambda spark, d: found(runtime.table(spark, d, "documents")),
     "p9_shared": lambda spark, d: shared(runtime.table(spark, d, "documents")),
+    "p9_cliques": lambda spark, d: members(runtime.table(spark, d, "documents")),
 }
 _SQL = """WITH d AS MATERIALIZED (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 300),
 c AS (SELECT text, min(doc_id) AS rep FROM d GROUP BY 1),

@@ -442,6 +442,19 @@ def test_shared_spans_against_brute_force(spark, group):
     assert p9.found(df.limit(0), 30).count() == 0
 
 
+def test_prefixes_are_lengthened_until_groups_fit(spark):
+    r = random.Random(14)
+    make = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    footer, inner = make(26), make(18)
+    docs = [(k, make(r.randrange(40)) + footer[r.randrange(4) :] + make(r.randrange(20))) for k in range(40)] + [(50 + k, make(20) + inner + "zy"[k % 2] * (k % 16) + make(9)) for k in range(40)]
+    docs += [(100 + k, make(11) + footer + make(12)) for k in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for group in (4, 15):
+        assert rows(p9.found(df, 24, group)) == brute_spans(docs, 24)
+    m = p9.members(df, 24).collect()
+    assert {tuple(sorted((x.doc_id, y.doc_id))) for x in m for y in m if x.passage == y.passage and x.doc_id != y.doc_id} == brute_spans(docs, 24)
+
+
 def test_many_copies_become_a_star_but_no_link_is_lost(spark):
     r = random.Random(1)
     a, b = ("".join(r.choice("abcdef") for _ in range(50)) for _ in range(2))
