@@ -60,8 +60,9 @@ def components(e: DataFrame) -> DataFrame:
         hooks = ends.groupBy("v").agg(F.min(draw("w")).alias("m"), F.count("*").alias("degree")).select("v", F.least("m", draw("v"))["to"].alias("to"), "degree")
         hooks = runtime.materialize(hooks, "p01-hooks")
         heavy = hooks.where(F.col("degree") > max(1, 2 * left // HEAVY))
-        moved = _relabel(_relabel(e, hooks, heavy, "a"), hooks, heavy, "b").where("a <> b")
+        before, moved = e, _relabel(_relabel(e, hooks, heavy, "a"), hooks, heavy, "b").where("a <> b")
         e = runtime.materialize(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "p01-edges")
+        runtime.discard(before)
         rounds.append(hooks.select("v", "to"))
         left = e.count()
     if not rounds:
@@ -71,8 +72,8 @@ def components(e: DataFrame) -> DataFrame:
     while rounds:
         step = rounds.pop()
         size = final.select(F.col("v").alias("to"), "root")
-        final = step.join(size, "to", "left").select("v", F.coalesce("root", "to").alias("root"))
-        final = runtime.materialize(final, "p01-roots")
+        before, final = final, runtime.materialize(step.join(size, "to", "left").select("v", F.coalesce("root", "to").alias("root")), "p01-roots")
+        runtime.discard(before, step)
     return final
 
 

@@ -168,7 +168,11 @@ def measured(records: DataFrame, band: float = BAND, folder: str = tokens.VOCABU
     """Every text with its token measures, its repeated share and ``rejected``: outside a band of its script."""
     columns = ["fertility", "chars_per_token", "fallback_share"]
     schema = _KEYS + ", script string, n_words long, n_tokens long, fertility double, chars_per_token double, fallback_share double, entropy double, repeated_share double"
-    m = runtime.materialize(_input(records).mapInArrow(_measure(folder, None), schema).dropDuplicates(["record_id", "field", "slot", "text_name"]), "p02-measures")
+    keys = ["record_id", "field", "slot", "text_name"]
+    rest = [f.split()[0] for f in schema.split(", ") if f.split()[0] not in keys]
+    # one row a text; where a slot comes with several texts, the one that repeats itself most
+    every = _input(records).mapInArrow(_measure(folder, None), schema).groupBy(*keys).agg(F.max(F.struct("repeated_share", *(c for c in rest if c != "repeated_share"))).alias("m"))
+    m = runtime.materialize(every.select(*keys, *(F.col(f"m.{c}") for c in rest)), "p02-measures")
     quartiles = m.groupBy("script").agg(*(F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{c}") for c in columns))
     outside = F.lit(False)
     for c in columns:

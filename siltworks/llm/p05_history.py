@@ -399,6 +399,7 @@ class HashForest:
             if recall >= self.recall:
                 break
         out = runtime.materialize(_union(found).select("tid", "since", "text").distinct(), "p05-repeats")
+        runtime.discard(*found)
         self.runs = [*old, new._replace(settled=True)]
         self._compact()
         self.save()

@@ -338,6 +338,27 @@ def test_message_passing_against_enumeration():
     assert np.allclose(m.marginals(nodes), want)
 
 
+@pytest.mark.parametrize(("field", "want"), [("<p>The sum is 4.</p><script>var x = 1; f(x);</script>", "The sum is 4."), ("<style>.a { margin: 3px; color: red; }</style>Find x.", "Find x."), ('<nav><a href="/a">home</a> <a href="/b">all pages</a></nav><p>Find the sum.</p>', "Find the sum."), ("<div>Find <b>the</b> sum.</div>", "Find the sum.")])
+def test_boilerplate_goes(field, want):
+    assert p6.clean(field, p6.model()) == want
+
+
+def test_held_out_pages():
+    got = p6.held_out(p6.model(), 500)
+    assert min(got["markup"]) > 0.97 and min(got["content"]) > 0.97
+
+
+def test_long_lists_take_linear_time():
+    import time
+
+    took = []
+    for n in (2_000, 8_000):
+        began = time.time()
+        p6.parse("- item of the list\n" * n)
+        took.append(time.time() - began)
+    assert took[1] < 12 * max(took[0], 0.01)
+
+
 def test_markup_over_a_table(spark):
     df = spark.createDataFrame([("a", "x<br>", None), ("a", "x<br>", None), (None, "y<br>", ""), ("b", None, "**w** <p>t</p>")], "record_id string, question string, raw_dataset_answer string")
     assert rows(p6.found(extra(df))) == {("a", "question", "html"), ("b", "raw_dataset_answer", "html"), ("b", "raw_dataset_answer", "markdown")}
