@@ -456,4 +456,27 @@ QUERIES = {
     "p6_clean": lambda spark, d: cleaned(runtime.table(spark, d, "canonical_records")),
     "p6_report": lambda spark, d: found(runtime.table(spark, d, "canonical_records")).groupBy("field", "kind").agg(F.count("*").alias("records")),
 }
-ORACLES: dict[str, str] = {}
+
+# ---- the same by plain rules, to check the model's rows ----
+
+_PLAIN = {
+    "html": [("is", r"<!--.*?-->"), ("i", rf"</?(?:{'|'.join(_TAGS)})(?:\s[^<>]*)?/?>"), ("", r"&(?:amp|lt|gt|nbsp|quot|apos|ldquo|rdquo|lsquo|rsquo|ndash|mdash|hellip|copy|times|middot|eacute|uuml|#\d{1,6}|#[xX][0-9A-Fa-f]{1,5});")],
+    "markdown": [
+        ("m", r"^#{1,6}[ \t]+\S"), ("m", r"^[ \t]{0,3}[-*+][ \t]+(?:[^\W\d_¿¡«“]|[¿¡«“$*`\[(\\_][^\n]*[^\W\d_]{2})"), ("m", r"^[ \t]{0,3}>[ \t]?\S[^\n]*[^\W\d_]{2}"), ("", r"\*\*[^\s*](?:[^*\n]*[^\s*])?\*\*|~~[^\s~](?:[^~\n]*[^\s~])?~~"), ("", r"(?:^|[^\w_\\])__[^\s_](?:[^_\n]*[^\s_])?__(?:$|[^\w_])"),
+        ("", r"(?:^|[^\w*\\])\*[^\W\d_](?:[^*\n]*[^\s*\d])?\*(?:$|[^\w*])"), ("", r"(?:^|[^\w_\\])_[^\W\d_](?:[^_\n]*[^\s_\d])?_(?:$|[^\w_])"), ("s", r"```[^\n]*\n"), ("", r"`[^`\n]+`"), ("", r"!\[[^\]\n]*\]\([^()\n]*\)"), ("", r"\[[^\[\]\n]*[^\W\d_]{2}[^\[\]\n]*\]\([^()\s]+(?:\s+\"[^\"\n]*\")?\)"), ("m", r"^[ \t]*\|(?:[ \t]*:?-{2,}:?[ \t]*\|)+[ \t]*$"), ("m", r"^[ \t]*(?:-{3,}|\*{3,}|_{3,})[ \t]*$"),
+    ],
+    "wiki": [("", r"\[\[[^\[\]\n]*[^\W\d_]{2}[^\n]*?\]\]"), ("", r"\{\{[^\n{}]*[^\W\d_]{2}[^\n]*?\}\}"), ("", r"(?:^|[^\w'])'{2,5}[^'\s][^'\n]*'{2,5}(?:$|[^\w'(])"), ("m", r"^={2,6}[ \t]*[^=\n]*[^\W\d_]{2}[^=\n]*={2,6}[ \t]*$"), ("m", r"^\{\|")],
+    "latex": [("", _CONSTRUCTS[n][1]) for n in ("env", "litem", "section", "style", "space", "note", "refer")],
+}
+
+
+def _plain_sql() -> str:
+    from siltworks.plans import sqltext as q
+
+    formulas = q.sql(r"\$\$.+?\$\$|\$[^$\n]+\$|\\\[.+?\\\]|\\\(.+?\\\)" + "".join(rf"|\\begin\{{{e}\*?\}}.*?\\end\{{{e}\*?\}}" for e in _MATH_ENV[3:-4].replace("[pbvVB]?matrix", "pmatrix|bmatrix|matrix").split("|")), "s")
+    rows = " UNION ALL ".join(f"SELECT record_id, '{f}' AS field, regexp_replace({f}, {formulas}, 'F', 'g') AS t FROM canonical_records WHERE record_id IS NOT NULL AND {f} IS NOT NULL" for f in FIELDS)
+    return f"WITH t AS MATERIALIZED ({rows}) " + " UNION ".join(f"SELECT record_id, field, '{k}' AS kind FROM t WHERE {' OR '.join(q.has('t', p, f) for f, p in ps)}" for k, ps in _PLAIN.items())
+
+
+ORACLES: dict[str, str] = {"p6_found": _plain_sql()}
+ORACLES["p6_report"] = f"SELECT field, kind, count(*) AS records FROM ({ORACLES['p6_found']}) GROUP BY 1, 2"
