@@ -96,11 +96,15 @@ def run(df: DataFrame, config: dict, checkpoint_dir: str | None = None) -> DataF
             start = done[-1] + 1
             df = keep.load(keys[done[-1]])
     df = runtime.fit_partitions(df)  # rules are CPU-bound: a small corpus in one file would keep one core busy
+    before = None
     for key, group in list(zip(keys, groups, strict=True))[start:]:
         for s in group:
             df = apply(df, s)
         df = schema.encode(df)
         df = keep.save(key, df) if keep else runtime.materialize(df, "pipeline")
+        if before is not None and not keep:
+            runtime.discard(before)
+        before = df
     return df
 
 

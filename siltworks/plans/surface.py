@@ -13,7 +13,7 @@ from siltworks.functions.regex import SPACE
 from siltworks.operators import clean, decontaminate, dedup, evaluate, inference, relational
 from siltworks.operators.clean import col
 from siltworks.plans import runner, sqltext as q
-from siltworks.plans.catalog import _CHAIN, _CLEANED, _GRAMS, _N, _V, ORACLES, PIPELINE, QUERIES, ROUTED, query, records
+from siltworks.plans.catalog import _CHAIN, _CLEANED, _GRAMS, _N, _V, ORACLES, PIPELINE, ROUTED, _tier_lists, query, records
 from siltworks.sources import readers, writers
 from siltworks.streaming import streams
 
@@ -609,3 +609,17 @@ def stream_counts(spark, d):
     s = _stream(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ingested_at"), F.col("event_type").alias("dataset_name"))
     streams.counts(s).writeStream.outputMode("complete").format("memory").queryName((name := "counts_" + path[-12:])).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.table(name).withColumn("start", F.unix_timestamp("start"))
+
+
+query("o03_registry", "SELECT unnest(['answer_judge', 'answer_quality_filter', 'boolean_answer_filter', 'broken_question_filter', 'cot_cleaning', 'decontam_embed', 'decontam_load', 'decontam_search', 'decontamination', 'dedup_judge', 'difficulty_annotation', 'empty_answer_tagger', 'exact_dedup', 'fuzzy_dedup', 'gzip_ratio_annotator', 'instruction_wrapper_cleaner', 'language_filter', 'length_filter', 'llm_classifier', 'math_filter', 'mcq_converter', 'meta_task_filter', 'missing_context_filter', 'ngram_repetition_filter', 'pass_ratio_filter', 'phantom_reference_filter', 'prompt_contamination_filter', 'rollout_correctness', 'rule_correctness', 'sample_answer_judge', 'text_cleaning', 'text_normalize', 'token_count_annotator']) AS processor")(lambda s, d: s.createDataFrame([(n,) for n in sorted(clean.PROCESSORS)], "processor string"))
+
+
+@query("o10_resources", "SELECT true AS measured")
+def resources(spark, d):
+    """Whether the memory of this process and of its children is read."""
+    m = runtime.resources()
+    return spark.createDataFrame([(min(m.values()) >= 0 and m["rss"] > 0 and m["child_rss"] > 0,)], "measured boolean")
+
+
+query("d08_tiers", "SELECT dataset_name, tier FROM (SELECT dataset_name, min(tier) AS tier FROM dataset_tiers WHERE dataset_name IS NOT NULL GROUP BY 1) UNION ALL SELECT 'new-dataset', 9")(lambda s, d: s.createDataFrame([(n, t) for t, names in dedup.augment_tiers(_tier_lists(s, d), 9, ["new-dataset", *(x for ns in _tier_lists(s, d).values() for x in ns)]).items() for n in names], "dataset_name string, tier int"))
+query("f35_event_time", "SELECT count(*) AS events, count(*) AS with_time FROM canonical_records")(lambda s, d: clean.length_filter(records(s, d).withColumn("trace", F.lit("[]"))).select(F.element_at("trace", -1)["created_at"].alias("t")).agg(F.count("*").alias("events"), F.count_if(F.col("t").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}(?:Z|[+-]\d{2}:\d{2})$")).alias("with_time")))

@@ -77,7 +77,7 @@ def from_messages(df: DataFrame, dataset_name: str = "") -> DataFrame:
     The answer is the first non-blank one, the distillation has each model's first assistant message;
     of several rows of a model the last counts (by answer and message, as files have no order).
     """
-    first = F.filter("messages", lambda m: m["role"] == "assistant")[0]
+    first = F.get(F.filter("messages", lambda m: m["role"] == "assistant"), F.lit(0))
     d = df.select(F.sha2(col("problem"), 256).alias("record_id"), col("problem").alias("question"), F.nullif(F.trim(col("expected_answer")), F.lit("")).alias("answer"), col("model").alias("model"), first["content"].alias("solution"), first["reasoning_content"].alias("reasoning"))
     models = d.groupBy("record_id", "model").agg(F.max(F.struct(F.coalesce("solution", F.lit("")).alias("solution"), F.coalesce("reasoning", F.lit("")).alias("reasoning"))).alias("m"))
     entry = F.struct("model", F.struct(F.col("model").alias("model"), F.col("m.solution").alias("solution"), F.col("m.reasoning").alias("reasoning")).alias("payload"))
@@ -104,7 +104,7 @@ _TURNS = "array<struct<from:string,value:string,ground_truth:struct<value:string
 
 def from_conversations(df: DataFrame, dataset_name: str = "", turns: str = "turns") -> DataFrame:
     """Rows with an array of turns: the first non-blank human turn asks, the first assistant truth answers."""
-    said = lambda role, get: F.filter(F.transform(F.filter(turns, lambda t: F.lower(t["from"]).isin(*role)), get), lambda v: text.strip(F.coalesce(v, F.lit(""))) != "")[0]
+    said = lambda role, get: F.get(F.filter(F.transform(F.filter(turns, lambda t: F.lower(t["from"]).isin(*role)), get), lambda v: text.strip(F.coalesce(v, F.lit(""))) != ""), F.lit(0))
     out = df.select(said(("human", "user"), lambda t: t["value"]).alias("question"), said(("assistant", "gpt"), lambda t: t["ground_truth"]["value"]).alias("ground_truth"))
     return ingest(out.where("question is not null"), dataset_name)
 
