@@ -182,9 +182,15 @@ def measured(records: DataFrame, band: float = BAND, folder: str = tokens.VOCABU
     return m.join(F.broadcast(quartiles), "script").withColumn("rejected", outside).drop(*(f"q_{c}" for c in columns))
 
 
+def shares(records: DataFrame) -> DataFrame:
+    """``(record_id, field, slot, text_name, n_words, repeated_share)`` of every text."""
+    return measured(records).select("record_id", "field", "slot", "text_name", "n_words", F.round("repeated_share", 9).alias("repeated_share"))
+
+
 QUERIES = {
     "p2_found": lambda spark, d: found(runtime.table(spark, d, "canonical_records")),
     "p2_fertility": lambda spark, d: measured(runtime.table(spark, d, "canonical_records")),
+    "p2_shares": lambda spark, d: shares(runtime.table(spark, d, "canonical_records")),
 }
 _SQL = """WITH v AS (SELECT DISTINCT record_id, verification AS j FROM canonical_records WHERE record_id IS NOT NULL AND verification IS NOT NULL AND json_valid(verification)),
 d AS (SELECT DISTINCT record_id, distillation AS j FROM canonical_records WHERE record_id IS NOT NULL AND distillation IS NOT NULL AND json_valid(distillation)),
@@ -196,4 +202,9 @@ w AS (SELECT *, regexp_extract_all(lower(x), '[\\p{L}\\p{N}]+') AS w FROM t WHER
 g AS (SELECT * EXCLUDE (x), list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i + 5], ' ')) AS g FROM w WHERE len(w) >= 12),
 r AS (SELECT *, list_filter(range(1, len(w) - 4), lambda i: list_position(g, g[i]) < i) AS again FROM g)
 SELECT DISTINCT record_id, field, slot, text_name FROM r WHERE len(list_distinct(flatten(list_transform(again, lambda i: range(i, i + 6))))) >= 0.3 * len(w)"""
-ORACLES = {"p2_found": _SQL}
+_TEXTS = _SQL.split("\ng AS (")[0].rstrip(",")
+_SHARES = f"""{_TEXTS},
+g AS (SELECT record_id, field, slot, text_name, len(w) AS n, list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i + 5], ' ')) AS g FROM w),
+z AS (SELECT *, len(list_distinct(flatten(list_transform(list_filter(range(1, n - 4), lambda i: list_position(g, g[i]) < i), lambda i: range(i, i + 6))))) AS c FROM g)
+SELECT record_id, field, slot, text_name, max(n)::BIGINT AS n_words, max(CASE WHEN n >= 12 THEN round(coalesce(c, 0)::DOUBLE / n, 9) ELSE 0.0 END)::DOUBLE AS repeated_share FROM z GROUP BY record_id, field, slot, text_name"""
+ORACLES = {"p2_found": _SQL, "p2_shares": _SHARES}

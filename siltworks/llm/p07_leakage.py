@@ -8,8 +8,8 @@ long enough run of the item contains such a stretch whole, so the two signatures
 along the document this finds short items in long documents without loss. Candidates are
 verified by exact containment: the longest unbroken run of shared shingles.
 
-Items are a stated query set: they go to the executors in blocks of ``ITEMS``, and every block
-is searched against all documents in one scan, without a shuffle of texts.
+Items are a stated query set: they go to the executors in blocks of ``ITEMS`` (some 1 kB an item),
+and every block is searched against all documents in one scan, without a shuffle of texts.
 
 Defined results: null or wordless texts and items, and items without a ``uid``, match nothing; a
 repeated document row counts once; an item that occurs with several texts counts by each.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,23 +33,36 @@ from siltworks.functions.kernel import Rolling, Words, blocks, mix, sliding_min
 SHARE = 0.5
 SHINGLE = 5
 SPREAD = 1.15
-ITEMS = 20_000
+ITEMS = 100_000
 _BASE = 0xD6E8FEB86659FD93
 
 
+class Partition(NamedTuple):
+    """Items whose least runs are of similar length: their signatures, sorted, and who has each."""
+
+    shingle: int
+    width: int
+    keys: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+
+    def owners(self, key: int) -> list[int]:
+        k = int(np.searchsorted(self.keys, np.uint64(key)))
+        return self.owner[self.first[k] : self.first[k + 1]].tolist()
+
+
 class ContainmentIndex:
     """Signatures of the items of one block, by size partition."""
 
     def __init__(self, items: list[tuple[str, str]], share: float):
         w = Words([q for _, q in items])
-        self.uids = [u for u, _ in items]
+        self.uids, self.texts = [u for u, _ in items], [q for _, q in items]
         self.hash = [w.hash[w.first[i] : w.first[i + 1]] for i in range(len(items))]
-        self.words = [w.of(i) for i in range(len(items))]
-        self.need = [max(1, math.ceil(len(x) * share)) for x in self.words]
-        self.parts: list[tuple[int, int, np.ndarray, dict[int, list[int]]]] = []
+        self.need = [max(1, math.ceil(len(x) * share)) for x in self.hash]
+        self.parts: list[Partition] = []
         by: dict[int, list[int]] = defaultdict(list)
         for i, n in enumerate(self.need):
-            if self.words[i]:
+            if len(self.hash[i]):
                 by[n].append(i)
         sizes = sorted(by)
         while sizes:
@@ -56,11 +70,15 @@ class ContainmentIndex:
             band = [s for s in sizes if s <= least * SPREAD]
             sizes = sizes[len(band) :]
             shingle = min(SHINGLE, least)
-            owners: dict[int, list[int]] = defaultdict(list)
-            for i in (i for s in band for i in by[s]):
-                for key in set(signatures(self.hash[i], shingle, least - shingle + 1).tolist()):
-                    owners[key].append(i)
-            self.parts.append((shingle, least - shingle + 1, np.array(sorted(owners), dtype=np.uint64), dict(owners)))
+            mine = [(i, np.unique(signatures(self.hash[i], shingle, least - shingle + 1))) for s in band for i in by[s]]
+            owner = np.repeat(np.array([i for i, _ in mine], dtype=np.int32), [len(k) for _, k in mine])
+            keys = np.concatenate([k for _, k in mine])
+            order = np.argsort(keys, kind="stable")
+            unique, first = np.unique(keys[order], return_index=True)
+            self.parts.append(Partition(shingle, least - shingle + 1, unique, np.append(first, len(keys)), owner[order]))
+
+    def words(self, i: int) -> list[str]:
+        return Words([self.texts[i]]).of(0)
 
 
 def signatures(h: np.ndarray, shingle: int, width: int) -> np.ndarray:
@@ -95,7 +113,8 @@ def _search(index: ContainmentIndex):
             for at, block in blocks(b.column(1).to_pylist()):
                 w = Words(block)
                 pairs: set[tuple[int, int]] = set()
-                for shingle, width, keys, owners in index.parts:
+                for part in index.parts:
+                    shingle, width, keys = part.shingle, part.width, part.keys
                     s = signatures(w.hash, shingle, width)
                     if not len(s):
                         continue
@@ -104,15 +123,15 @@ def _search(index: ContainmentIndex):
                     for p in place[hit].tolist():
                         # the stretch may reach into the next text: then its words belong to two candidates
                         for d in {int(w.doc[p]), int(w.doc[p + width + shingle - 2])}:
-                            pairs.update((d, i) for i in owners[int(s[p])])
+                            pairs.update((d, i) for i in part.owners(int(s[p])))
                 doc, uid, run_words, item_words = [], [], [], []
                 for d, i in sorted(pairs):
                     n, x, y = longest_run(w.hash[w.first[d] : w.first[d + 1]], index.hash[i], min(SHINGLE, index.need[i]))
-                    if n >= index.need[i] and [w.word(w.first[d] + x + k) for k in range(n)] == index.words[i][y : y + n]:
+                    if n >= index.need[i] and [w.word(w.first[d] + x + k) for k in range(n)] == index.words(i)[y : y + n]:
                         doc.append(ids[at + d])
                         uid.append(index.uids[i])
                         run_words.append(n)
-                        item_words.append(len(index.words[i]))
+                        item_words.append(len(index.hash[i]))
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(uid, pa.string()), pa.array(run_words, pa.int64()), pa.array(item_words, pa.int64())], ["doc_id", "uid", "run_words", "item_words"])
 
     return run
