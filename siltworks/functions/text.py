@@ -11,15 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions import rules, tokens
-from siltworks.functions.regex import SPACE, WORD, java
+from siltworks.functions.regex import SPACE, WORD, hoisted, java, needs
 
 
 def replace(c: Column, pattern: str, by: str, flags: str = "") -> Column:
     return F.regexp_replace(c, F.lit(java(pattern, flags)), F.lit(by))
 
 
-def matches(c: Column, pattern: str, flags: str = "") -> Column:
-    return F.coalesce(c.rlike(java(pattern, flags)), F.lit(False))
+def matches(c: Column, pattern: str, flags: str = "", low: Column | None = None) -> Column:
+    """Whether the pattern is found. ``low`` is ``folded(c)``: a pattern is only tried where a text it needs is there."""
+    hit = F.coalesce(c.rlike(java(hoisted(pattern), flags)), F.lit(False))
+    if low is None or not (some := needs(pattern, flags)):
+        return hit
+    held = F.contains(low, F.lit(some[0]))
+    for x in some[1:]:
+        held = held | F.contains(low, F.lit(x))
+    return F.coalesce(held, F.lit(False)) & hit
+
+
+def folded(c: Column) -> Column:
+    """Lower case, with the few characters that equal an ASCII letter when case is ignored brought to it."""
+    return F.lower(F.translate(c, "\u017f\u0131\u0130\u212a", "siik"))
 
 
 def strip(c: Column) -> Column:
@@ -101,6 +113,10 @@ def script_counts(c: Column) -> dict[str, Column]:
     return {"total": total, "latin": latin, "cjk": cjk, "other": total - latin - cjk}
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def script_ratio(c: Column, which: str) -> Column:
     n = script_counts(c)
     return F.when(n["total"] == 0, F.lit(1.0 if which == "latin" else 0.0)).otherwise(n[which] / n["total"])

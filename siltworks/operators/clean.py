@@ -61,9 +61,14 @@ def col(name: str) -> Column:
     return text.or_blank(F.col(name))
 
 
-def first_reason(c: Column, table: list[tuple[str, str, str]], upto: Column | None = None) -> list[Column]:
+def first_reason(c: Column, table: list[tuple[str, str, str]], low: Column | None = None) -> list[Column]:
     """For each (flags, pattern, reason) the reason where it matches, to be coalesced in order."""
-    return [F.when(text.matches(c, p, f), F.lit(r)) for f, p, r in table]
+    return [F.when(text.matches(c, p, f, low), F.lit(r)) for f, p, r in table]
+
+
+def with_low(df: DataFrame, c: Column) -> DataFrame:
+    """Adds ``_low``: the text folded, for ``text.matches``, made once a row."""
+    return df.withColumn("_low", F.when(col("training_phase") == "", text.folded(c)))
 
 
 def route(df: DataFrame, name: str, verdict: Column, status: str, guarded: bool = True, silent_skip: bool = False) -> DataFrame:
@@ -144,30 +149,30 @@ def text_cleaning(df: DataFrame) -> DataFrame:
 @processor("prompt_contamination_filter")
 def prompt_contamination_filter(df: DataFrame) -> DataFrame:
     """Solutions, chat turns and answers inside the question."""
-    q = text.strip(col("question"))
-    table = [F.when(text.matches(q, p, f), F.struct(F.lit(t).alias("tag"), F.lit(r).alias("reason"))) for f, p, t, r in rules.PROMPT_CONTAMINATION]
+    q, df = text.strip(col("question")), with_low(df, col("question"))
+    table = [F.when(text.matches(q, p, f, F.col("_low")), F.struct(F.lit(t).alias("tag"), F.lit(r).alias("reason"))) for f, p, t, r in rules.PROMPT_CONTAMINATION]
     nq, na = text.normalize_answer(q), text.normalize_answer(col("raw_dataset_answer"))
     cue = F.lit(False)
     for c in rules.ANSWER_CUES:
         cue = cue | F.contains(nq, F.lit(c))
     overlap = F.when((F.length(na) >= 8) & F.contains(nq, na) & cue, F.struct(F.lit("answer_leakage").alias("tag"), F.lit("answer_overlap").alias("reason")))
     df = df.withColumn("_found", F.when(col("training_phase") == "", F.coalesce(*table, overlap)))
-    return route(df, "prompt_contamination_filter", verdict(F.col("_found").isNotNull(), "midtrain", F.col("_found.tag"), F.col("_found.reason")), "routed").drop("_found")
+    return route(df, "prompt_contamination_filter", verdict(F.col("_found").isNotNull(), "midtrain", F.col("_found.tag"), F.col("_found.reason")), "routed").drop("_found", "_low")
 
 
 @processor("missing_context_filter")
 def missing_context_filter(df: DataFrame) -> DataFrame:
     """References to what isn't there, missing targets, broken formats."""
-    q = text.strip(col("question"))
-    missing = first_reason(q, rules.MISSING_CONTEXT) + first_reason(q, rules.UNDERSPECIFIED)
-    broken = first_reason(q, rules.BROKEN_FORMAT)
+    q, df, low = text.strip(col("question")), with_low(df, col("question")), F.col("_low")
+    missing = first_reason(q, rules.MISSING_CONTEXT, low) + first_reason(q, rules.UNDERSPECIFIED, low)
+    broken = first_reason(q, rules.BROKEN_FORMAT, low)
     count = lambda c: F.length(q) - F.length(F.replace(q, F.lit(c), F.lit("")))
     for left, right, what in (("(", ")", "parentheses"), ("[", "]", "brackets"), ("{", "}", "braces")):
         broken.append(F.when((count(left) != count(right)) & (F.length(q) < 400), F.lit(f"unbalanced_{what}")))
     pair = lambda tag: lambda r: F.when(r.isNotNull(), F.struct(F.lit(tag).alias("tag"), r.alias("reason")))
     df = df.withColumns({"_missing": F.when(col("training_phase") == "", F.coalesce(*missing)), "_broken": F.when(col("training_phase") == "", F.coalesce(*broken))})
     df = df.withColumn("_found", F.coalesce(pair("missing_context")(F.col("_missing")), pair("broken_format")(F.col("_broken"))))
-    return route(df, "missing_context_filter", verdict(F.col("_found").isNotNull(), "drop", F.col("_found.tag"), F.col("_found.reason")), "dropped").drop("_missing", "_broken", "_found")
+    return route(df, "missing_context_filter", verdict(F.col("_found").isNotNull(), "drop", F.col("_found.tag"), F.col("_found.reason")), "dropped").drop("_missing", "_broken", "_found", "_low")
 
 
 @processor("length_filter")
@@ -179,22 +184,25 @@ def length_filter(df: DataFrame) -> DataFrame:
 def language_filter(df: DataFrame, other_threshold: float = 0.1, cjk_threshold: float = 0.1) -> DataFrame:
     """Questions in other scripts are dropped, Chinese, Japanese and Korean ones set apart."""
     n = text.script_counts(col("question"))
-    share = lambda k: F.when(n["total"] == 0, 0.0).otherwise(n[k] / n["total"])
-    v = F.coalesce(verdict(share("other") >= other_threshold, "drop", "other_non_english", "other_non_english"), verdict(share("cjk") >= cjk_threshold, "midtrain", "chinese", "chinese"))
-    return route(df, "language_filter", v, "dropped")
+    # letters of other scripts are counted once a row, and only where there can be any
+    df = df.withColumn("_n", F.when((col("training_phase") == "") & ~text.is_ascii(col("question")), F.struct(*(n[k].alias(k) for k in ("total", "cjk", "latin")))))
+    other = F.col("_n.total") - F.col("_n.latin") - F.col("_n.cjk")
+    share = lambda k: F.when(F.coalesce("_n.total", F.lit(0)) == 0, 0.0).otherwise(k / F.col("_n.total"))
+    v = F.coalesce(verdict(share(other) >= other_threshold, "drop", "other_non_english", "other_non_english"), verdict(share(F.col("_n.cjk")) >= cjk_threshold, "midtrain", "chinese", "chinese"))
+    return route(df, "language_filter", v, "dropped").drop("_n")
 
 
 #: The large vocabularies of tasks that aren't mathematics, as (flags, pattern). ``math_filter`` takes others in their place.
 VOCABULARIES: dict[str, tuple[str, str]] = {"code": rules.NON_MATH_CODE, "general": rules.NON_MATH_GENERAL, "stem": rules.NON_MATH_STEM}
 
 
-def _non_math_role(c: Column) -> Column:
+def _non_math_role(c: Column, low: Column) -> Column:
     """Some role pattern's first match names a role outside mathematics."""
     out = F.lit(False)
     for f, p in rules.ROLES:
         groups = re.compile(p).groups
         role = F.regexp_extract(c, text.java(p, f), groups if groups == 1 else 1)
-        out = out | (text.matches(c, p, f) & ~text.matches(role, rules.MATH_ROLE[1], rules.MATH_ROLE[0]))
+        out = out | (text.matches(c, p, f, low) & ~text.matches(role, rules.MATH_ROLE[1], rules.MATH_ROLE[0]))
     return out
 
 
@@ -210,36 +218,37 @@ def math_filter(df: DataFrame, vocabularies: dict[str, tuple[str, str]] | None =
             d = F.col("distillation")
         reasoning = F.coalesce(F.array_join(F.transform(F.map_values(d), lambda x: F.coalesce(x["reasoning"], F.lit(""))), "\n"), F.lit(""))
     df = df.withColumn("_text", F.when(col("training_phase") == "", text.strip(F.concat_ws("\n", col("question"), reasoning))))
-    c = F.col("_text")
-    has = lambda t: text.matches(c, t[1], t[0])
+    c, df, low = F.col("_text"), with_low(df, F.col("_text")), F.col("_low")
+    has = lambda t: text.matches(c, t[1], t[0], low)
     translation = F.lit(False)
     for p in rules.TRANSLATION:
-        translation = translation | text.matches(c, p, "i")
+        translation = translation | text.matches(c, p, "i", low)
     prefix = F.lit(False)
     for p in rules.PROGRAMMING_PREFIXES:
         prefix = prefix | c.startswith(p)
-    df = df.withColumns({"_deep": has(rules.MATH_INSTRUCTION) & has(rules.MATH_OBJECT), "_role": _non_math_role(c), "_stem": has(v["stem"]), "_plain": has(v["code"]) | has(v["general"]) | has(rules.CHAT_TRANSCRIPT), "_sure": translation | has(rules.STRONG_CODE) | F.coalesce(prefix, F.lit(False))})
+    df = df.withColumns({"_deep": has(rules.MATH_INSTRUCTION) & has(rules.MATH_OBJECT), "_role": _non_math_role(c, low), "_stem": has(v["stem"]), "_plain": has(v["code"]) | has(v["general"]) | has(rules.CHAT_TRANSCRIPT), "_sure": translation | has(rules.STRONG_CODE) | F.coalesce(prefix, F.lit(False))})
     non_math = F.col("_plain") | F.col("_role")
     drop = F.col("_sure") | F.col("_role") | (non_math & ~F.col("_deep")) | (F.col("_stem") & ~F.col("_deep")) | (F.col("_stem") & non_math)
-    return route(df, "math_filter", verdict(drop, "drop", "non_math_signal", "non_math_signal"), "dropped").drop("_text", "_deep", "_role", "_stem", "_plain", "_sure")
+    return route(df, "math_filter", verdict(drop, "drop", "non_math_signal", "non_math_signal"), "dropped").drop("_text", "_low", "_deep", "_role", "_stem", "_plain", "_sure")
 
 
 @processor("phantom_reference_filter")
 def phantom_reference_filter(df: DataFrame) -> DataFrame:
     either = "|".join(f"(?:{p})" for p in rules.PHANTOM_REFERENCE)
-    return route(df, "phantom_reference_filter", verdict(text.matches(col("question"), either, "i"), "drop", "phantom_reference", "phantom_reference"), "dropped")
+    df = with_low(df, col("question"))
+    return route(df, "phantom_reference_filter", verdict(text.matches(col("question"), either, "i", F.col("_low")), "drop", "phantom_reference", "phantom_reference"), "dropped").drop("_low")
 
 
 @processor("broken_question_filter")
 def broken_question_filter(df: DataFrame) -> DataFrame:
-    q = col("question")
+    q, df = col("question"), with_low(df, col("question"))
     broken = F.lit(False)
     for f, p in rules.BROKEN_REFERENCE:
-        broken = broken | text.matches(q, p, f)
+        broken = broken | text.matches(q, p, f, F.col("_low"))
     bare = text.strip(text.replace(q, rules.LATEX[1], "", rules.LATEX[0]))
     expression = (F.length(bare) < 30) & ~text.matches(bare, rules.VERB[1], rules.VERB[0])
     v = F.coalesce(verdict(broken, "drop", "broken_reference", "broken_reference"), verdict(expression, "drop", "bare_expression", "bare_expression"))
-    return route(df, "broken_question_filter", v, "dropped")
+    return route(df, "broken_question_filter", v, "dropped").drop("_low")
 
 
 def _unconvertible(question: Column, option: Column) -> list[Column]:
@@ -285,14 +294,14 @@ def mcq_converter(df: DataFrame) -> DataFrame:
 @processor("meta_task_filter")
 def meta_task_filter(df: DataFrame) -> DataFrame:
     """Tasks about answers, prompts and text. The reason is the first pattern's first 80 characters."""
-    q = col("question")
-    # one test with all patterns of a kind decides; which one it was matters only for the few hits
+    q, df = col("question"), with_low(df, col("question"))
+    # one pass over the patterns decides; which one it was matters only for the few hits
     any_hit = F.lit(False)
-    for f in sorted({f for f, _ in rules.META_TASK}):
-        any_hit = any_hit | text.matches(q, "|".join(f"(?:{p})" for g, p in rules.META_TASK if g == f), f)
+    for f, p in rules.META_TASK:
+        any_hit = any_hit | text.matches(q, p, f, F.col("_low"))
     df = df.withColumn("_any", (col("training_phase") == "") & any_hit)
     which = F.coalesce(*(F.when(text.matches(q, p, f), F.lit(p[:80])) for f, p in rules.META_TASK))
-    return route(df, "meta_task_filter", verdict(F.col("_any"), "midtrain", "meta_task", F.when(F.col("_any"), which)), "routed").drop("_any")
+    return route(df, "meta_task_filter", verdict(F.col("_any"), "midtrain", "meta_task", F.when(F.col("_any"), which)), "routed").drop("_any", "_low")
 
 
 @processor("boolean_answer_filter")

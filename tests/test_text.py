@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -108,3 +109,30 @@ def test_longest_repetition(words, n):
             k += 1
         best = max(best, k)
     assert text.longest_repetition(words, n) == best
+
+
+@pytest.mark.parametrize("table", ["PROMPT_CONTAMINATION", "MISSING_CONTEXT", "UNDERSPECIFIED", "BROKEN_FORMAT", "BROKEN_REFERENCE", "META_TASK", "ROLES", "NON_MATH_CODE", "NON_MATH_GENERAL", "NON_MATH_STEM", "STRONG_CODE", "MATH_OBJECT", "PROOF_KEYWORD"])
+def test_what_a_pattern_needs_is_in_every_match(table):
+
+    from siltworks.functions.regex import alternatives, hoisted, needs
+
+    rng = random.Random(5)
+    got = getattr(rules, table)
+    for flags, pattern in [t[:2] for t in (got if isinstance(got, list) else [got])]:
+        mode = sum({"i": re.I, "m": re.M, "s": re.S}[f] for f in flags)
+        assert "|".join(alternatives(pattern)) == pattern
+        some, plain, quick = needs(pattern, flags), re.compile(pattern, mode), re.compile(hoisted(pattern), mode)
+        # texts made of the pattern's own words, so that many of them match
+        words = re.findall(r"[A-Za-z]{2,}|[^\w\s]", pattern) + ["a", "the", "5", "\n", " "]
+        for _ in range(60):
+            t = rng.choice(["", " "]).join(rng.choice(words) for _ in range(rng.randrange(1, 12)))
+            t = t.upper() if rng.random() < 0.3 else t
+            hit = plain.search(t)
+            assert bool(quick.search(t)) == bool(hit)
+            assert not hit or not some or any(x in t.lower() for x in some), (pattern, t)
+
+
+def test_folding_covers_letters_that_match_when_case_is_ignored(spark):
+    c = F.col("t")
+    df = spark.createDataFrame([("ſolution: 5",), ("SOLUTİON: 5",), ("ſolutıon :",), ("nothing",), (None,)], "t string")
+    assert [r.m for r in df.select(text.matches(c, r"\bsolution\s*:", "i", text.folded(c)).alias("m")).collect()] == [r.m for r in df.select(text.matches(c, r"\bsolution\s*:", "i").alias("m")).collect()]
