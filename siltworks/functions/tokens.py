@@ -15,12 +15,27 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def share(spark, folder: str = VOCABULARIES, file: str = BYTE_BPE) -> None:
+    """Send the vocabulary to executors that may not have the folder; they read it where it is, or else what was sent."""
+    if (path := Path(folder) / file).exists():
+        spark.sparkContext.addFile(str(path))  # a file is sent once a session
+
+
+def _find(folder: str, file: str) -> Path:
+    path = Path(folder) / file
+    if path.exists():
+        return path
+    from pyspark import SparkFiles
+
+    return Path(SparkFiles.get(file))
+
+
 @lru_cache(maxsize=4)
 def byte_bpe(folder: str = VOCABULARIES, file: str = BYTE_BPE):
     """A byte-level BPE encoding without special tokens."""
     import tiktoken
 
-    with (Path(folder) / file).open("rb") as f:
+    with _find(folder, file).open("rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 

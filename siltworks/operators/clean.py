@@ -444,4 +444,5 @@ def gzip_ratio_annotator(df: DataFrame, field: str = "cot_text", output_key: str
 
 @processor("token_count_annotator")
 def token_count_annotator(df: DataFrame, field: str = "question", output_key: str = "token_count", vocabularies: str = tokens.VOCABULARIES) -> DataFrame:
+    tokens.share(df.sparkSession, vocabularies)
     return _annotate(df, output_key, text.token_count(vocabularies)(resolve_text(df, field, False)), "token_count_annotator")

@@ -7,6 +7,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,16 +20,29 @@ from siltworks.operators.inference import Client, ask, embed, fill, judge_templa
 QUERIES = 5_000
 
 
+def _rows_of(column: pa.ListArray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which rows hold a whole vector of the size, those vectors) of a list column, without a Python object a number."""
+    n = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    keep = np.flatnonzero(n == size)
+    if not size or not len(keep):
+        return keep[:0], np.zeros((0, size))
+    flat = column.take(pa.array(keep)).flatten()
+    matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    if flat.null_count:
+        whole = ~pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(-1, size).any(axis=1)
+        keep, matrix = keep[whole], matrix[whole]
+    return keep, matrix
+
+
 def _nearest(names: list, matrix: np.ndarray, k: int, kind):
     def run(batches):
         best: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            ids, vectors = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
-            keep = [i for i, v in enumerate(vectors) if v is not None and len(v) == matrix.shape[1] and not any(x is None for x in v)]
-            if not keep:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            keep, vectors = _rows_of(b.column(1), matrix.shape[1])
+            if not len(keep):
                 continue
-            s = matrix @ np.array([vectors[i] for i in keep], dtype=np.float64).T
-            s, own = np.round(s, 12), ids[keep]
+            s, own = np.round(matrix @ vectors.T, 12), ids[keep]
             # ties by id, so that a partition's best don't depend on its order
             order = np.lexsort((np.broadcast_to(np.argsort(np.argsort(own)), s.shape), -s), axis=1)[:, :k]
             best.append((np.take_along_axis(s, order, 1), own[order]))

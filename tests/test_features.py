@@ -235,3 +235,20 @@ def test_side_tables(spark, tmp_path):
     writers.write_rollouts(schema.canonical(spark.createDataFrame([("r", v), ("s", None)], "record_id string, verification string")), f"file://{tmp_path}/rollouts")
     (row,) = spark.read.parquet(f"file://{tmp_path}/rollouts").collect()
     assert (row.record_id, json.loads(row.parsed_answers), row.is_correct) == ("r", ["4", ""], True)
+
+
+def test_vectors_that_are_no_vectors_match_nothing(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [None, 1.0]), (5, [0.6, 0.8]), (6, []), (7, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").coalesce(1)
+    got = [(r.id, round(r.similarity, 6)) for r in decontaminate.knn(df.where("id = 1"), df, 5).orderBy("rank").collect()]
+    assert got == [(1, 1.0), (5, 0.6)]
+    assert decontaminate.knn(df.limit(0), df).count() == 0 and decontaminate.knn(df.where("id = 1"), df.limit(0)).count() == 0
+
+
+def test_a_vocabulary_that_was_sent_is_found(spark, tmp_path):
+    from siltworks.functions import tokens
+
+    tokens.share(spark)
+    count = text.token_count(str(tmp_path / "not there"))
+    df = spark.createDataFrame([("some words here",), (None,)], "t string")
+    assert [r.n for r in df.select(count(F.col("t")).alias("n")).collect()] == [tokens.count("some words here"), 0]
