@@ -161,11 +161,13 @@ def _input(records: DataFrame) -> DataFrame:
 
 def found(records: DataFrame, share: float = SHARE, folder: str = tokens.VOCABULARIES) -> DataFrame:
     """``(record_id, field, slot, text_name)`` of texts whose repeated share is at least ``share``."""
+    tokens.share(records.sparkSession, folder)
     return _input(records).mapInArrow(_measure(folder, share), _KEYS).distinct()
 
 
 def measured(records: DataFrame, band: float = BAND, folder: str = tokens.VOCABULARIES) -> DataFrame:
     """Every text with its token measures, its repeated share and ``rejected``: outside a band of its script."""
+    tokens.share(records.sparkSession, folder)
     columns = ["fertility", "chars_per_token", "fallback_share"]
     schema = _KEYS + ", script string, n_words long, n_tokens long, fertility double, chars_per_token double, fallback_share double, entropy double, repeated_share double"
     keys = ["record_id", "field", "slot", "text_name"]

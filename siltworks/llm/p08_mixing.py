@@ -51,6 +51,7 @@ def _count(folder: str):
 
 def sized(docs: DataFrame, targets: DataFrame, folder: str = tokens.VOCABULARIES) -> DataFrame:
     """``(doc_id, source, n_tokens)`` of the documents of listed sources, written once."""
+    tokens.share(docs.sparkSession, folder)
     listed = targets.select("source").where("source is not null and target_share is not null").distinct()
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")).where("doc_id is not null").join(F.broadcast(listed), "source", "left_semi")
     out = runtime.fit_partitions(mine).select("doc_id", "source", "text").mapInArrow(_count(folder), "doc_id long, source string, n_tokens long")
