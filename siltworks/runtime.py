@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,9 +57,10 @@ def remove(spark: SparkSession, path: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that ``materialize`` wrote, once nothing reads them any more."""
     for t in tables:
-        shared = shared_dir(t.sparkSession)
+        shared = urlsplit(shared_dir(t.sparkSession)).path
         for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            if folder.removeprefix("file://").removeprefix("file:").startswith(shared.removeprefix("file://").removeprefix("file:")):
+            # only what ``scratch`` named, right below the shared folder
+            if re.fullmatch(re.escape(shared) + r"/[\w-]+-[0-9a-f]{12}", urlsplit(folder).path):
                 remove(t.sparkSession, folder)
 
 
