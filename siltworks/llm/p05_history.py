@@ -145,15 +145,15 @@ def labels(n: int) -> np.ndarray:
     return found.astype(np.int32)
 
 
-def _layout(sample: list[tuple[int, str]], per_tree: int, buckets: np.ndarray) -> Layout:
+def _layout(per_tree: int, buckets: np.ndarray, sample: pa.Table | None = None) -> Layout:
+    """Blocks of even size by the keys ``(tree, key, tid)`` of a sample."""
     keys, ids = [np.zeros(0, dtype=np.int64)] * TREES, [np.zeros(0, dtype=np.int64)] * TREES
-    if sample and per_tree > 1:
-        tid = np.array([i for i, _ in sample], dtype=np.int64)
-        found = np.concatenate([keys_of(b)[0] for _, b in blocks([t for _, t in sample], 500_000)])
-        cut = np.arange(1, per_tree) * len(sample) // per_tree
+    if sample is not None and sample.num_rows and per_tree > 1:
+        tree, key, tid = (sample.column(c).to_numpy() for c in ("tree", "key", "tid"))
         for t in range(TREES):
-            order = np.lexsort((tid, found[:, t]))[cut]
-            keys[t], ids[t] = found[order, t], tid[order]
+            mine = np.flatnonzero(tree == t)
+            cut = mine[np.lexsort((tid[mine], key[mine]))][np.arange(1, per_tree) * len(mine) // per_tree]
+            keys[t], ids[t] = key[cut], tid[cut]
     return Layout(per_tree, keys, ids, buckets)
 
 
@@ -296,12 +296,15 @@ class HashForest:
         self._save_bucketed(texts.select("tid", "text", "since").repartition(n, "tid"), name, "texts", "tid", ["tid"], n)
         texts = self._bucketed(name, "texts", _TEXT, "tid", "tid", n)
         rows = texts.count()
-        layout = _layout([], 1, labels(n))
+        layout = _layout(per_tree, labels(n))
+        signed = texts.where(F.length("text") >= GRAM).select("tid", "text", "since")
         if per_tree > 1:
             share = F.pmod(F.xxhash64("tid", F.lit(37)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / max(rows, 1)))
-            layout = _layout([tuple(r) for r in texts.where((F.length("text") >= GRAM) & share).select("tid", "text").collect()], per_tree, labels(n))
+            # keys of about SAMPLE texts: some 12 MB
+            some = signed.where(share).mapInArrow(_signed(_layout(1, labels(TREES))), _KEY).select("tree", "key", "tid").toArrow()
+            layout = _layout(per_tree, labels(n), some)
         if keys is None:
-            keys = texts.where(F.length("text") >= GRAM).select("tid", "text", "since").mapInArrow(_signed(layout), _KEY)
+            keys = signed.mapInArrow(_signed(layout), _KEY)
         else:
             keys = keys.select(*_NAMES).mapInArrow(_replaced(layout), _KEY)
         self._save_bucketed(keys.repartition(n, "block"), name, "keys", "block", ["tree", "key"], n)
