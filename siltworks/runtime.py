@@ -91,8 +91,37 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def processes() -> set[int]:
+    """The JVM and all processes below it or below this one, without this one.
+
+    They are told by their parent: a process's list of children has only those that its first thread
+    started. Under ``spark-submit`` the JVM stands above this process, so it is asked for its number.
+    """
+    import os
+    from pathlib import Path
+
+    from pyspark import SparkContext
+
+    children: dict[int, list[int]] = {}
+    for p in Path("/proc").iterdir():
+        if p.name.isdigit():
+            try:
+                parent = int((p / "stat").read_bytes().rpartition(b")")[2].split()[1])
+            except OSError:  # ended meanwhile
+                continue
+            children.setdefault(parent, []).append(int(p.name))
+    gateway = SparkContext._gateway
+    found = {gateway.jvm.java.lang.ProcessHandle.current().pid()} if gateway else set()
+    todo = [os.getpid(), *found]
+    while todo:
+        below = set(children.get(todo.pop(), ())) - found
+        found |= below
+        todo += below
+    return found - {os.getpid()}
+
+
 def resources() -> dict[str, float]:
-    """Memory in GB of this process and of its children (the JVM, Python workers), from the kernel's accounts."""
+    """Memory in GB of this process and of its ``processes`` (the JVM, Python workers), from the kernel's accounts."""
     import os
     from pathlib import Path
 
@@ -103,14 +132,7 @@ def resources() -> dict[str, float]:
             return 0
         return sum(int(x.split()[1]) for x in lines if x.startswith(f"{key}:")) << 10
 
-    def below(pid: int) -> list[int]:
-        try:
-            own = [int(x) for x in Path(f"/proc/{pid}/task/{pid}/children").read_text().split()]
-        except OSError:
-            return []
-        return own + [x for p in own for x in below(p)]
-
-    children = below(os.getpid())
+    children = processes()
     kinds = {"rss": ("status", "VmRSS"), "pss": ("smaps_rollup", "Pss"), "private_dirty": ("smaps_rollup", "Private_Dirty"), "private_clean": ("smaps_rollup", "Private_Clean")}
     out: dict[str, float] = {"children": float(len(children))}
     for name, (file, key) in kinds.items():

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+import subprocess
+import threading
 from types import SimpleNamespace
 
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from siltworks import runtime, schema
@@ -54,6 +58,30 @@ def test_files_and_settings(spark, tmp_path):
     assert runtime.resources()["rss"] > 0
 
 
+def test_processes_of_any_thread_and_a_jvm_above_are_measured(monkeypatch):
+    ready, end, started = threading.Event(), threading.Event(), []
+
+    def run():
+        started.append(subprocess.Popen(["sleep", "60"]))
+        ready.set()
+        end.wait()
+
+    thread = threading.Thread(target=run)
+    thread.start()
+    assert ready.wait(30)
+    above = SimpleNamespace(pid=os.getppid)
+    monkeypatch.setattr(SparkContext, "_gateway", SimpleNamespace(jvm=SimpleNamespace(java=SimpleNamespace(lang=SimpleNamespace(ProcessHandle=SimpleNamespace(current=lambda: above))))))
+    try:
+        m = runtime.resources()
+        assert m["children"] >= 2 and m["child_rss"] > 0
+        assert {started[0].pid, os.getppid()} <= runtime.processes() and os.getpid() not in runtime.processes()
+    finally:
+        started[0].kill()
+        started[0].wait()
+        end.set()
+        thread.join()
+
+
 # ---- model calls ----
 
 
