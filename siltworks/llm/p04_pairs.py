@@ -7,18 +7,18 @@ Method: two small models trained here on ``documents``.
   whose posterior is surely another language than the question's is ``other_language``. Formulas,
   markup, numbers and quoted passages are left out first.
 * Ends of texts: the likelihood ratio of the last characters (1 to ``SUFFIX``, letters and digits
-  by class) under ends of paragraphs against places inside them, longest suffix seen often enough
-  first. Prose whose end is more likely inside a text is ``truncated_answer``, as is whatever
-  leaves a bracket, formula or operator open.
+  by class) under ends of paragraphs against all places inside them (those of a paragraph weigh as
+  much together as its end), longest suffix seen often enough first. Prose whose end is more likely
+  inside a text is ``truncated_answer``, as is whatever leaves a bracket, formula or operator open.
 
 Refusals, copies of the question and empty answers are told by their form. One defect a record, the
 first of: empty_answer, question_copy, refusal, truncated_answer, other_language.
 
-The models are fitted on a bounded sample: about ``SAMPLE`` documents with a ``lang``, picked by a
-hash of the id. A language is kept, however rare, if it explains its own texts better than every
-other one does, each trigram left out in turn; what another language explains as well (wrong or
-doubtful labels) is none of its own. What reaches the driver is one array of ``BUCKETS`` counts a
-language, of which more than ``LANGUAGES`` are refused, and the suffixes of the sample.
+The models are counted over every document with a ``lang``. A language is kept, however rare, if it
+explains its own texts better than every other one does, each trigram left out in turn; what another
+language explains as well (wrong or doubtful labels) is none of its own. What reaches the driver is
+one array of ``BUCKETS`` counts a language, of which more than ``LANGUAGES`` are refused, and the
+suffixes seen often enough to be used.
 
 Defined results: a null answer is empty; a null question is never copied and has no language; a
 record delivered twice counts once; null ids are skipped; texts are taken whole; with no labelled
@@ -38,12 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks import runtime
-from siltworks.functions.kernel import Rolling, codes, mix
+from siltworks.functions.kernel import Rolling, blocks, codes, mix
 from siltworks.llm import p06_markup as markup
 
-SAMPLE = 20_000
 BUCKETS = 1 << 16
 SUFFIX = 4
+#: Times that a suffix of several characters has to be seen to be used.
+OFTEN = 20
+#: Characters from which a paragraph counts for ends.
+PARAGRAPH = 40
 LANGUAGES = 1_000
 #: Words from which a text is a sentence, not a bare value (a value needs no full stop and has no language).
 SENTENCE = 3
@@ -195,6 +198,10 @@ _MARKS = frozenset(string.punctuation + "«»“”„’‘。，、；：？
 _ELLIPSIS = re.compile(r"[^\W_](?:\.{3,}|…+)$")
 
 
+#: Categories of the other characters, as one character of the private use area each.
+_CATEGORIES = {c: chr(0xE000 + i) for i, c in enumerate("Cc Cf Cn Co Cs Ll Lm Lo Lt Lu Mc Me Mn Nd Nl No Pc Pd Pe Pf Pi Po Ps Sc Sk Sm So Zl Zp Zs".split())}
+
+
 @lru_cache(maxsize=None)  # at most a value a code point
 def _class(c: str) -> str:
     if c.isdigit():
@@ -203,7 +210,60 @@ def _class(c: str) -> str:
         return "字"
     if c.isalpha():
         return "A" if c.isupper() else "a"
-    return " " if c.isspace() else c if c in _MARKS else unicodedata.category(c)
+    return " " if c.isspace() else c if c in _MARKS else _CATEGORIES[unicodedata.category(c)]
+
+
+#: All classes; a class's place, from 1, is its symbol in the key of a suffix, ``_BITS`` wide, the last character lowest.
+_CLASSES = ["9", "字", "A", "a", " ", *sorted(_MARKS), *_CATEGORIES.values()]
+_SYMBOLS = {c: i for i, c in enumerate(_CLASSES, 1)}
+_BITS = 7
+#: What a paragraph's end counts, and all its inside places together.
+_ONE = 1 << 30
+
+
+@lru_cache(maxsize=1)
+def _symbol_table() -> np.ndarray:
+    """Each code point's symbol, 0 where it hasn't been met."""
+    return np.zeros(0x110000, dtype=np.int32)
+
+
+def _symbols(code: np.ndarray) -> np.ndarray:
+    table = _symbol_table()
+    for c in np.unique(code[table[code] == 0]):
+        table[c] = _SYMBOLS[_class(chr(c))]
+    return table[code]
+
+
+def end_counts(paragraphs: list[str]) -> dict[str, tuple[int, int]]:
+    """Suffix -> (at ends, at all places inside), in parts of ``_ONE``.
+
+    A place inside is what is left of a paragraph, without white space at the end, if it breaks off
+    after at least five characters and before its last but one.
+    """
+    out: dict[str, list[int]] = {}
+    for _, block in blocks(paragraphs):
+        size = np.fromiter(map(len, block), dtype=np.int64, count=len(block))
+        symbol = _symbols(codes("".join(block)))
+        start = np.repeat((np.cumsum(size) - size).astype(np.int64), size)
+        at = np.arange(len(symbol)) - start
+        key = symbol.copy()
+        for k in range(1, SUFFIX):
+            key[k:] |= np.where(at[k:] >= k, symbol[:-k], 0) << (_BITS * k)
+        last = np.maximum.accumulate(np.where(symbol != _SYMBOLS[" "], np.arange(len(symbol)), -1))
+        left = np.repeat(size, size) - at  # characters from here on
+        inside = np.flatnonzero((at >= 4) & (left >= 3) & (last >= start))
+        weight = np.repeat(_ONE // np.maximum(size - 6, 1), size)
+        keys, which = np.unique(np.concatenate([key[last[inside]], key[left == 1]]), return_inverse=True)
+        n = len(inside)
+        # sums of integers below 2 ** 53 are exact
+        sums = [np.bincount(which[:n], weight[inside], len(keys)), np.bincount(which[n:], minlength=len(keys)) * _ONE]
+        for k, inner, end in zip(keys.tolist(), sums[0].astype(np.int64).tolist(), sums[1].tolist(), strict=True):
+            s = "".join(_CLASSES[x - 1] for m in reversed(range(SUFFIX)) if (x := k >> (_BITS * m) & ((1 << _BITS) - 1)))
+            for m in range(1, len(s) + 1):
+                c = out.setdefault(s[-m:], [0, 0])
+                c[0] += end
+                c[1] += inner
+    return {s: (x, y) for s, (x, y) in out.items()}
 
 
 def ending(text: str) -> str:
@@ -213,7 +273,7 @@ def ending(text: str) -> str:
 class Ends:
     """Log-likelihood ratio of a suffix: end of a text against a place inside one."""
 
-    def __init__(self, counts: dict[str, tuple[int, int]]):
+    def __init__(self, counts: dict[str, tuple[float, float]]):
         self.counts = counts
         at = [sum(c[k] for s, c in counts.items() if len(s) == 1) for k in (0, 1)]
         self.total = (at[0] + 1.0, at[1] + 1.0)
@@ -222,11 +282,11 @@ class Ends:
         s = ending(text)
         if not s:
             return 0.0
-        if len(self.counts) < 10:
+        if self.total[0] < 3:  # less than two paragraphs
             return 1.0 if s[-1] in ".!?。！？)]}$\"”»" else -1.0
         for n in range(len(s), 0, -1):
             a, b = self.counts.get(s[-n:], (0, 0))
-            if a + b >= 20 or n == 1:
+            if a + b >= OFTEN or (n == 1 and a + b >= 1):  # seen less than once says nothing
                 return float(np.log((a + 0.5) / self.total[0]) - np.log((b + 0.5) / self.total[1]))
         return 0.0
 
@@ -270,27 +330,27 @@ def _train_rows(batches):
     lang_counts: dict[str, np.ndarray] = {}
     ends: dict[str, list[int]] = {}
     for b in batches:
-        for i, lang, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+        paragraphs = []
+        for lang, text in zip(*(b.column(k).to_pylist() for k in range(2)), strict=True):
             g = _trigrams(text)
             if len(g):
                 c = lang_counts.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
                 c += np.bincount(g, minlength=BUCKETS)
-            for n, p in enumerate(re.split(r"\n\s*\n", text)):
-                p = p.rstrip()
-                if len(p) < 40:
-                    continue
-                h = int(mix(np.array([(i or 0) * 1009 + n]), 43)[0])
-                inside = p[: 5 + h % (len(p) - 6)]
-                for k, t in ((0, p), (1, inside)):
-                    s = ending(t)
-                    for m in range(1, len(s) + 1):
-                        ends.setdefault(s[-m:], [0, 0])[k] += 1
+            paragraphs += [p for x in re.split(r"\n\s*\n", text) if len(p := x.rstrip()) >= PARAGRAPH]
+        _add(ends, end_counts(paragraphs))
     # a language's counts travel as bytes, one array a partition, to be added up with those of the others
     yield _models_batch({"l" + x: c for x, c in lang_counts.items()}, {"e" + x: c for x, c in ends.items()})
 
 
+def _add(ends: dict[str, list[int]], more: dict[str, tuple[int, int]]) -> None:
+    for key, (n0, n1) in more.items():
+        e = ends.setdefault(key, [0, 0])
+        e[0] += n0
+        e[1] += n1
+
+
 def _added(batches):
-    """Counts of one partition added up: a row a language and suffix."""
+    """Counts of one partition, which has all of its keys, added up: a row a language and a suffix that is used."""
     langs: dict[str, np.ndarray] = {}
     ends: dict[str, list[int]] = {}
     for b in batches:
@@ -299,10 +359,8 @@ def _added(batches):
                 c = np.frombuffer(counts, dtype=np.int64)
                 langs[key] = langs[key] + c if key in langs else c
             else:
-                e = ends.setdefault(key, [0, 0])
-                e[0] += n0
-                e[1] += n1
-    yield _models_batch(langs, ends)
+                _add(ends, {key: (n0, n1)})
+    yield _models_batch(langs, {k: c for k, c in ends.items() if len(k) == 2 or sum(c) >= OFTEN * _ONE})
 
 
 def _models_batch(langs: dict, ends: dict) -> pa.RecordBatch:
@@ -315,19 +373,16 @@ def models_of(batches: list[pa.RecordBatch]) -> tuple[Languages, Ends]:
     (b,) = _added(batches)
     key, counts, n0, n1 = (b.column(i).to_pylist() for i in range(4))
     langs = sorted((k[1:], np.frombuffer(c, dtype=np.int64)) for k, c in zip(key, counts, strict=True) if c is not None)
-    ends = {k[1:]: (x, y) for k, c, x, y in zip(key, counts, n0, n1, strict=True) if c is None}
+    ends = {k[1:]: (x / _ONE, y / _ONE) for k, c, x, y in zip(key, counts, n0, n1, strict=True) if c is None}
     return Languages([n for n, _ in langs], np.array([c for _, c in langs], dtype=np.float64).reshape(len(langs), BUCKETS)), Ends(ends)
 
 
 _COUNTS = "key string, counts binary, n0 long, n1 long"
 
 
-def train(documents: DataFrame, sample: int = SAMPLE) -> tuple[Languages, Ends]:
-    """Both models from about ``sample`` labelled documents, counted and added up on the executors."""
-    labelled = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.trim("lang").alias("lang"), "text").where("lang is not null and lang <> '' and text is not null and text <> ''")
-    n = labelled.count()
-    if n > sample:
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(44)), F.lit(1_000_000)) < int(1_000_000 * sample / n))
+def train(documents: DataFrame) -> tuple[Languages, Ends]:
+    """Both models from all labelled documents, counted and added up on the executors."""
+    labelled = documents.select(F.trim("lang").alias("lang"), "text").where("lang is not null and lang <> '' and text is not null and text <> ''")
     many = labelled.select("lang").distinct().limit(LANGUAGES + 1).count()
     if many > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
@@ -382,9 +437,9 @@ def _judge(languages: Languages, ends: Ends, page: markup.Model):
     return run
 
 
-def found(records: DataFrame, documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def found(records: DataFrame, documents: DataFrame) -> DataFrame:
     """``(record_id, defect)`` of every record whose answer is defective."""
-    languages, ends = train(documents, sample)
+    languages, ends = train(documents)
     rows = runtime.fit_partitions(records.select("record_id", "question", "raw_dataset_answer"))
     return rows.mapInArrow(_judge(languages, ends, markup.model()), "record_id string, defect string").distinct()
 

@@ -184,6 +184,29 @@ def test_a_rare_language_is_kept_and_a_wrong_label_is_none(spark):
     assert languages.names == ["en", "fr"]
 
 
+def test_every_document_and_place_counts(spark):
+    n, text = 20_500, "Every one of the texts counts, not some of them."
+    languages, ends = p4.train(spark.range(n).selectExpr("id as doc_id", "'en' as lang", f"'{text}' as text"))
+    one = np.bincount(p4._trigrams(text), minlength=p4.BUCKETS)
+    assert languages.log[:, 0] == pytest.approx(np.log((one * n + 0.5) / ((one * n).sum() + 0.5 * p4.BUCKETS)), abs=1e-4)
+    assert ends.counts["."] == (n, 0) and ends.total == pytest.approx((n + 1, n + 1))
+    assert sum(b for s, (_, b) in ends.counts.items() if len(s) == 2) == pytest.approx(n)
+
+
+def test_ends_are_counted_at_all_places_inside():
+    texts = [f"{a}{b} 12 ≤ xⅣ 字字\n(Ω).{c}" for a in ("", "      ", "A\t\t  \n") for b in ("one two", "\ue000\ud800́", "e" * 90) for c in ("", "!", "∎")]
+    want = {}
+    for t in texts:
+        for k in range(5, len(t) - 1):
+            s = p4.ending(t[:k])
+            for m in range(1, len(s) + 1):
+                want.setdefault(s[-m:], [0, 0])[1] += p4._ONE // (len(t) - 6)
+        s = p4.ending(t)
+        for m in range(1, len(s) + 1):
+            want.setdefault(s[-m:], [0, 0])[0] += p4._ONE
+    assert p4.end_counts(texts) == {s: tuple(x) for s, x in want.items()} and p4.end_counts([]) == {}
+
+
 def test_defects_over_a_table(spark, models):
     docs = spark.createDataFrame([(1, None, None)], "doc_id long, lang string, text string")
     df = spark.createDataFrame([("a", Q, None), ("a", Q, None), ("b", None, "12"), ("c", None, None), (None, Q, ""), ("d", Q, "word " * 30_000 + "end."), ("e", "", "La somme.")], "record_id string, question string, raw_dataset_answer string")
