@@ -346,7 +346,7 @@ def _incoming(spark, d) -> DataFrame:
 
 
 def _incoming_pairs(spark, d, exact: bool = True) -> DataFrame:
-    reps = dedup.classes(_incoming(spark, d)).where("id = rep").select("id", "text")
+    reps = dedup.representatives(_incoming(spark, d))
     return dedup.jaccard_pairs(reps) if exact else dedup.lsh_pairs(reps)
 
 
@@ -357,7 +357,7 @@ query("d04_fuzzy_dedup", f"WITH RECURSIVE {_PAIRS}, e AS MATERIALIZED (SELECT le
 
 def _canonical_pairs(spark, d, exact: bool = True) -> DataFrame:
     """Near duplicates among all canonical records, of any phase; too many for a self-join in SQL."""
-    reps = dedup.classes(records(spark, d)).where("id = rep").select("id", "text")
+    reps = dedup.representatives(records(spark, d))
     return (dedup.jaccard_pairs(reps) if exact else dedup.lsh_pairs(reps)).withColumn("similarity", F.round("similarity", 6))
 
 

@@ -115,6 +115,53 @@ def test_jaccard_join_against_brute_force(spark):
     assert {(r.left_id, r.right_id) for r in dedup.lsh_pairs(reps).collect()} <= want
 
 
+@pytest.mark.parametrize("n", [2, 3, 5])
+def test_jaccard_pairs_of_any_length_in_any_number_of_passes(spark, monkeypatch, n):
+    r = random.Random(5)
+    texts = {"日", "𝒳y", "ab"}
+    for size in (3, 20, 60, 190, 195, 400, 900):
+        base = "".join(r.choice("abcdefghijkl ") for _ in range(size))
+        for k in range(4):
+            for i in r.sample(range(size), k * size // 80):
+                base = base[:i] + r.choice("xyz日") + base[i + 1 :]
+            texts.add(base.strip())
+    texts = sorted(texts)
+    reps = spark.createDataFrame([(f"r{i:02d}", t) for i, t in enumerate(texts)], "id string, text string")
+    sets = [{t[i : i + n] for i in range(max(1, len(t) - n + 1))} for t in texts]
+    near = {(f"r{i:02d}", f"r{j:02d}"): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(texts)) for j in range(i + 1, len(texts))}
+    for threshold, held, tile in ((0.8, dedup.HELD, dedup.TILE), (0.8, 60, 5), (0.5, 200, 2)):
+        monkeypatch.setattr(dedup, "HELD", held)
+        monkeypatch.setattr(dedup, "TILE", tile)
+        want = sorted((*p, s) for p, s in near.items() if s >= threshold)
+        assert sorted(tuple(x) for x in dedup.jaccard_pairs(reps, threshold, n).collect()) == want and want
+
+
+def test_jaccard_pairs_move_only_similar_pairs(spark):
+    # of ten letters: even a text's rarest substrings are in many others
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    texts = [" ".join(word() for _ in range(20)) + " qqq vvv zzz" for _ in range(400)]
+    texts.append(texts[0][:50] + "k" + texts[0][51:])
+    reps = spark.createDataFrame([(f"r{i:03d}", t) for i, t in enumerate(texts)], "id string, text string")
+    seen = []
+    verified = dedup.verified
+
+    def counted(candidates, *rest):
+        seen.append(candidates.count())
+        return verified(candidates, *rest)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(dedup, "verified", counted)
+        assert [(x.left_id, x.right_id) for x in dedup.jaccard_pairs(reps).collect()] == [("r000", "r400")]
+    assert seen == [1]
+
+
+def test_representatives_are_the_classes_own(spark):
+    df = spark.createDataFrame([("b", "X y"), ("a", "x  Y!"), ("c", ""), (None, "z"), ("a", "a"), ("d", None)], "record_id string, question string")
+    want = sorted(tuple(x) for x in dedup.classes(df).where("id = rep").select("id", "text").collect())
+    assert sorted(tuple(x) for x in dedup.representatives(df).collect()) == want and len(want) == 4
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(40)] + [("s", f"s{i}") for i in range(30)] + [("x", "x"), ("s", "s1")]
     got = dict(tuple(r) for r in dedup.components(spark.createDataFrame(edges, "a string, b string")).collect())
