@@ -121,8 +121,12 @@ def _grams(t: str) -> str:
 
 @query("f18_jaccard", f"SELECT left_id, right_id, round(CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0 WHEN len(a) = 0 OR len(b) = 0 THEN 0.0 ELSE len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) END, 9)::DOUBLE AS jaccard FROM (SELECT left_id, right_id, {_grams('l')} AS a, {_grams('r')} AS b FROM (SELECT left_id, right_id, {q.minhash('coalesce(left_question, chr(32))')} AS l, {q.minhash('coalesce(right_question, chr(32))')} AS r FROM dedup_pairs))")
 def jaccard(spark, d):
-    g = lambda c: text.char_ngrams(text.minhash_text(text.or_blank(F.col(c))))
-    return runtime.table(spark, d, "dedup_pairs").select("left_id", "right_id", F.round(text.jaccard(g("left_question"), g("right_question")), 9).alias("jaccard"))
+    # one projection a step: a text is normalised once, not once a place, and its substrings are listed once
+    plain = lambda c: text.minhash_text(text.or_blank(F.col(c)))
+    pairs = runtime.fit_partitions(runtime.table(spark, d, "dedup_pairs").select("left_id", "right_id", "left_question", "right_question"))
+    pairs = pairs.select("left_id", "right_id", plain("left_question").alias("a"), plain("right_question").alias("b"))
+    pairs = pairs.select("left_id", "right_id", text.char_ngrams(F.col("a")).alias("a"), text.char_ngrams(F.col("b")).alias("b"))
+    return pairs.select("left_id", "right_id", F.round(text.jaccard(F.col("a"), F.col("b")), 9).alias("jaccard"))
 
 
 def _words(c: str) -> str:

@@ -84,6 +84,22 @@ def test_jaccard_edges(spark):
     assert tuple(r) == (1.0, 0.0, 0.5)
 
 
+def test_jaccard_of_pairs_normalises_a_text_once(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = [None, "", " . ", "ab", "A  b!", "abc abc", "Find the area of x.", "find the areas of x", "日本語の文"]
+    pairs = [(str(i), str(j), a, b) for i, a in enumerate(texts) for j, b in enumerate(texts)]
+    spark.createDataFrame(pairs, "left_id string, right_id string, left_question string, right_question string").write.parquet(f"{tmp_path}/dedup_pairs.parquet")
+    df = entry.queries()["f18_jaccard"](spark, str(tmp_path))
+    plain = [" ".join("".join(c if c.isalnum() else " " for c in (t or "").lower()).split()) for t in texts]
+    sets = [{t[k : k + 3] for k in range(max(1, len(t) - 2))} if t else set() for t in plain]
+    want = {(str(i), str(j)): round(len(a & b) / len(a | b), 9) if a | b else 1.0 for i, a in enumerate(sets) for j, b in enumerate(sets)}
+    assert {(r.left_id, r.right_id): r.jaccard for r in df.collect()} == want
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    once = spark.range(1).select(text.minhash_text(text.or_blank(F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2 * once.count("regexp_replace(") and plan.count("array_distinct(") == 2
+
+
 def test_options(spark):
     r = one(spark, "What is 1+1?\nA. 1\nB. 2\nC. 3\nD. 4", lambda c: text.option_value(text.options(c), F.lit("B")), text.strip_option_lines)
     assert tuple(r) == ("2", "What is 1+1?")
