@@ -156,6 +156,18 @@ def test_jaccard_pairs_move_only_similar_pairs(spark):
     assert seen == [1]
 
 
+def test_incoming_pairs_move_only_similar_pairs(spark, tmp_path, monkeypatch):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    texts = [" ".join(word() for _ in range(20)) for _ in range(300)]
+    rows = [(f"u{i:03d}", t) for i, t in enumerate(texts)] + [("v1", texts[0][:50] + "k" + texts[0][51:]), ("v2", texts[1].upper() + "!"), (" ", texts[2]), (None, texts[3]), ("v3", None)]
+    spark.createDataFrame([(*x, "d") for x in rows], "uid string, question string, dataset_name string").write.parquet(f"{tmp_path}/incoming_records.parquet")
+    seen, verified = [], dedup.verified
+    monkeypatch.setattr(dedup, "verified", lambda candidates, *rest: seen.append(candidates.count()) or verified(candidates, *rest))
+    got = catalog.QUERIES["d02_jaccard_pairs"](spark, str(tmp_path)).collect()
+    assert [(x.left_id, x.right_id) for x in got] == [("u000", "v1")] and seen == [1]
+
+
 def test_representatives_are_the_classes_own(spark):
     df = spark.createDataFrame([("b", "X y"), ("a", "x  Y!"), ("c", ""), (None, "z"), ("a", "a"), ("d", None)], "record_id string, question string")
     want = sorted(tuple(x) for x in dedup.classes(df).where("id = rep").select("id", "text").collect())
